@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, sharding
+from . import exact_dedup, mixing, near_dedup, sharding
 
 QUERIES = {
+    "op3_minhash_dedup": near_dedup.op3_minhash_dedup,
     "op5_jump_shards": sharding.op5_jump_shards,
     "op8_mix_sources": mixing.op8_mix_sources,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
