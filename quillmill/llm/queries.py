@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, near_dedup, sharding
+from . import cover_tree, exact_dedup, mixing, near_dedup, sharding
 
 QUERIES = {
+    "op1_cover_tree_dedup": cover_tree.op1_cover_tree_dedup,
     "op3_minhash_dedup": near_dedup.op3_minhash_dedup,
     "op5_jump_shards": sharding.op5_jump_shards,
     "op8_mix_sources": mixing.op8_mix_sources,
