@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from . import cover_tree, exact_dedup, mixing, near_dedup, sharding
+from . import bpe, cover_tree, exact_dedup, html_text, mixing, near_dedup, quality, sharding
 
 QUERIES = {
     "op1_cover_tree_dedup": cover_tree.op1_cover_tree_dedup,
+    "op2_bpe_tokens": bpe.op2_bpe_tokens,
     "op3_minhash_dedup": near_dedup.op3_minhash_dedup,
+    "op4_html_text": html_text.op4_html_text,
     "op5_jump_shards": sharding.op5_jump_shards,
     "op8_mix_sources": mixing.op8_mix_sources,
+    "op9_quality_qda": quality.op9_quality_qda,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
 ORACLE_SQL = {
     "op8_mix_sources": mixing.OP8_SQL,
+    "op9_quality_qda": quality.op9_quality_qda,
     "op10_exact_dedup": exact_dedup.OP10_SQL,
 }

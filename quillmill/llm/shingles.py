@@ -64,16 +64,14 @@ def runs(column: pa.Array):
         i = j
 
 
-def shingle_hashes(data: np.ndarray, offsets: np.ndarray, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, counts a text): the shingles of each text of a run, repeats included.
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, starts, bounds): the words of a run; those of text i are bounds[i] to bounds[i + 1].
 
-    Words are runs of bytes other than ASCII white space, A-Z lower-cased; a text with 1 to width - 1 words is one
-    shingle. A word's hash is a polynomial over random byte values modulo 2^64, taken from prefix sums; a shingle's
-    combines its words' mixed hashes and how many there are.
+    Words are runs of bytes other than ASCII white space, A-Z lower-cased. A word's hash is a polynomial over random byte
+    values modulo 2^64, taken from prefix sums.
     """
-    n = len(offsets) - 1
     if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(n, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
     inside = ~_SPACE[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
@@ -81,14 +79,24 @@ def shingle_hashes(data: np.ndarray, offsets: np.ndarray, width: int = 5) -> tup
     first[edges] = inside[edges]  # a word never goes on into the next text
     starts = np.flatnonzero(first)
     if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(n, np.int64)
+        return np.zeros(0, np.uint64), starts, np.zeros(len(offsets), np.int64)
     power, unpower = _powers(len(data) + 1)
     prefix = np.empty(len(data) + 1, np.uint64)
     prefix[0] = 0
     np.cumsum(np.where(inside, _VALUES[data], np.uint64(0)) * power[:-1], out=prefix[1:])
     ends = np.append(starts[1:], len(data))  # white space up to the next word adds nothing
-    words = mix((prefix[ends] - prefix[starts]) * unpower[starts])
-    bounds = np.searchsorted(starts, offsets)
+    return mix((prefix[ends] - prefix[starts]) * unpower[starts]), starts, np.searchsorted(starts, offsets)
+
+
+def shingle_hashes(data: np.ndarray, offsets: np.ndarray, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, counts a text): the shingles of each text of a run, repeats included.
+
+    A text with 1 to width - 1 words is one shingle. A shingle's hash combines its words' and how many there are.
+    """
+    n = len(offsets) - 1
+    words, _, bounds = word_hashes(data, offsets)
+    if not len(words):
+        return np.zeros(0, np.uint64), np.zeros(n, np.int64)
     n_words = np.diff(bounds)
     counts = np.where(n_words >= width, n_words - width + 1, np.minimum(n_words, 1))
     text = np.repeat(np.arange(n), counts)
