@@ -58,6 +58,11 @@ def byte_names() -> list[str]:
     return [chr(b if b in plain else next(spare)) for b in range(256)]
 
 
+def split_words(text: str) -> list[str]:
+    """The runs of a text without Unicode white space."""
+    return [w for w in _SPACES.split(text) if w] if any(c in text for c in _NOT_SPACES) else text.split()
+
+
 def _lower(text: str) -> str:
     """Lower case letter by letter: a final sigma is not a special case."""
     return text.replace("Σ", "σ").lower()
@@ -207,9 +212,9 @@ class Bpe:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(tokens, tokens a text, word numbers, words a text); word numbers hold until the next call."""
-        split = [_SPACES.split(t) if any(c in t for c in _NOT_SPACES) else t.split() for t in texts]
-        words = [w for t in split for w in t if w]
-        n_words = np.array([len(t) - t.count("") for t in split], np.int64)
+        split = [split_words(t) for t in texts]
+        words = [w for t in split for w in t]
+        n_words = np.array([len(t) for t in split], np.int64)
         if len(self.words) > MOST_WORDS:
             self.forget()
         at = np.fromiter(map(self.words.get, words, repeat(-1)), np.int64, len(words))
@@ -239,7 +244,7 @@ def load(path: str) -> Bpe:
     return _LOADED[path]
 
 
-def _text_runs(column: pa.Array):
+def text_runs(column: pa.Array):
     """(first row, texts) of about ``RUN_CHARS`` characters; null is empty."""
     row, run, size = 0, [], 0
     for i, text in enumerate(column):
@@ -256,7 +261,7 @@ def _encoded(path: str):
     def encode(batches):
         bpe = load(path)
         for batch in batches:
-            for row, texts in _text_runs(batch.column(1)):
+            for row, texts in text_runs(batch.column(1)):
                 tokens, counts, _, _ = bpe.encode(texts)
                 ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(tokens.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(texts)), ids], names=["id", "ids"])
@@ -274,11 +279,11 @@ def _decoded(path: str):
     return decode
 
 
-def _digested(path: str):
+def _digested(path: str, with_ids: bool = False):
     def digest(batches):
         bpe = load(path)
         for batch in batches:
-            for row, texts in _text_runs(batch.column(1)):
+            for row, texts in text_runs(batch.column(1)):
                 tokens, counts, at, n_words = bpe.encode(texts)
                 raw, ends = tokens.astype("<u4"), np.cumsum(counts)
                 words, word_ends = bpe.texts, np.cumsum(n_words)
@@ -287,10 +292,10 @@ def _digested(path: str):
                     ids_sha.append(hashlib.sha256(raw[ends[k] - counts[k] : ends[k]]).hexdigest())
                     own = at[word_ends[k] - n_words[k] : word_ends[k]].tolist()
                     text_sha.append(hashlib.sha256(b" ".join([words[i] for i in own])).hexdigest())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, len(texts)), pa.array(counts), pa.array(ids_sha), pa.array(text_sha)],
-                    names=["id", "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
+                columns = {"id": batch.column(0).slice(row, len(texts)), "n_tokens": pa.array(counts), "ids_sha256": pa.array(ids_sha), "decoded_sha256": pa.array(text_sha)}
+                if with_ids:
+                    columns["ids"] = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(tokens.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     return digest
 
@@ -315,10 +320,11 @@ def decode(encoded: DataFrame, path: str | None = None, id_col: str = "doc_id",
     return _renamed(narrow.mapInArrow(_decoded(path or default_path()), f"id {kind}, text string"), id_col)
 
 
-def digests(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, n_tokens, ids_sha256, decoded_sha256): encodes and decodes every text in one pass and keeps the digests."""
+def digests(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+    """(id_col, n_tokens, ids_sha256, decoded_sha256 and, if asked for, ids): encodes and decodes every text in one pass."""
     narrow, kind = _narrow(docs, id_col, text_col)
-    return _renamed(narrow.mapInArrow(_digested(path or default_path()), f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"), id_col)
+    schema = f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+    return _renamed(narrow.mapInArrow(_digested(path or default_path(), with_ids), schema), id_col)
 
 
 def op2_bpe_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
