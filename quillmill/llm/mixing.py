@@ -78,7 +78,7 @@ def allocate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
 def position(used: Column, slope: Column) -> Column:
     """The time t at which the share ``used`` of a source's demand is used up: inverts (1 - s) t + s t^2 = used."""
     root = F.sqrt(F.greatest(F.lit(0.0), (1 - slope) * (1 - slope) + 4 * slope * used))
-    return F.when(F.abs(slope) < 1e-12, used).otherwise(2 * used / ((1 - slope) + root))
+    return F.when((F.abs(slope) < 1e-12) | (used <= 0), used).otherwise(F.try_divide(2 * used, (1 - slope) + root))
 
 
 def stream(allocation: DataFrame) -> DataFrame:
