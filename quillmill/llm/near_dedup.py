@@ -10,9 +10,12 @@ Method, on the set of distinct 5-word shingles of each whole text:
 4. Each class of a bucket is paired with the bucket's smallest class only; pairs go on if their sizes allow the
    threshold and if enough of 128 four-bit registers agree (six standard deviations below what is due). The rest is
    confirmed on the full sets, and components are formed.
-5. Buckets that still hold several components have all their pairs across components taken, less those inside the
-   bucket's largest one; these are filtered and confirmed likewise. After that every candidate pair is either confirmed,
-   refuted or inside one component, so no link between different texts is lost, and no group's pairs are all listed.
+5. In buckets that still hold several components all pairs across components are looked at, in blocks, but those inside
+   the bucket's largest component are not. A task gives back only a forest of the pairs that are possible, so rows stay
+   linear in the members. The forest's components are clusters, in which every pair that is still open lies.
+6. In each cluster, again in blocks, the pairs across components that are possible are decided on the full sets, and a
+   forest of the links is given back. After that every candidate pair is either confirmed, refuted or inside one
+   component: no link between different texts is lost, and no group's pairs are ever listed.
 
 Components come from distributed rounds (``components``), not from the driver.
 
@@ -25,6 +28,7 @@ the named id and text columns are read, so other columns can have any name.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -145,13 +149,120 @@ def _confirmed(least_pct: int):
 
 def _possible(x: str, y: str, least_pct: int) -> Column:
     """Sizes that allow the threshold, and enough equal four-bit registers: six standard deviations below the mean due."""
+    least = _least_equal(least_pct)
     sizes = 100 * F.least(f"{x}.n", f"{y}.n") >= least_pct * F.greatest(f"{x}.n", f"{y}.n")
-    same = 15 / 16 * least_pct / 100 + 1 / 16
-    least = int(REGISTERS * same - 6 * (REGISTERS * same * (1 - same)) ** 0.5)
     half = lambda h: f"bit_count(~({' | '.join(f'({x}.p{2 * b + h} ^ {y}.p{2 * b + h})' for b in range(4))}))"
     return sizes & (F.expr(f"{half(0)} + {half(1)}") >= least)
 
 
+#: A block holds at most about so many members, and elements.
+BLOCK_ROWS, BLOCK_ELEMENTS = 1024, 2_000_000
+
+
+def _across(rows: DataFrame, key: str, task, schema: str, columns: list[str]) -> DataFrame:
+    """Runs ``task`` on blocks of each key with several components: (members outside the largest component) x (all)."""
+    parts = rows.groupBy(key, "comp").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("sum"))
+    whole = parts.groupBy(key).agg(
+        F.count(F.lit(1)).alias("comps"), F.max(F.struct("size", "comp")).alias("top"), F.sum("size").alias("size"), F.sum("sum").alias("sum")
+    )
+    blocks = lambda size: F.greatest(F.ceil(size / BLOCK_ROWS), F.ceil(F.col("sum") / F.col("size") * size / BLOCK_ELEMENTS), F.lit(1)).cast("int")
+    whole = whole.filter("comps > 1").select(
+        key, F.col("top.comp").alias("largest"), blocks(F.col("size")).alias("right"), blocks(F.col("size") - F.col("top.size")).alias("left")
+    )
+    placed = rows.join(whole, key).withColumn("h", F.xxhash64("cls"))
+    other = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = placed.filter("comp != largest").select(key, F.expr("cast(pmod(h, left) as int)").alias("i"), other("right").alias("j"), F.lit(True).alias("is_left"), *columns)
+    right = placed.select(key, other("left").alias("i"), F.expr("cast(pmod(h, right) as int)").alias("j"), F.lit(False).alias("is_left"), *columns)
+    return left.unionByName(right).groupBy(key, "i", "j").applyInPandas(task, schema)
+
+
+class _Union:
+    """Groups of numbered things, with the group of each at hand as an array."""
+
+    def __init__(self, n: int):
+        self.parent, self.label = list(range(n)), np.arange(n)
+
+    def root(self, i: int) -> int:
+        while self.parent[i] != i:
+            self.parent[i] = self.parent[self.parent[i]]
+            i = self.parent[i]
+        return i
+
+    def join(self, i: int, j: int) -> bool:
+        i, j = self.root(i), self.root(j)
+        self.parent[max(i, j)] = min(i, j)
+        return i != j
+
+    def relabel(self) -> None:
+        label = np.array(self.parent)
+        while not np.array_equal(label, up := label[label]):
+            label = up
+        self.label = label
+
+
+def _least_equal(least_pct: int) -> int:
+    same = 15 / 16 * least_pct / 100 + 1 / 16
+    return int(REGISTERS * same - 6 * (REGISTERS * same * (1 - same)) ** 0.5)
+
+
+def _open_pairs(pdf: pd.DataFrame, least_pct: int, groups: np.ndarray, union: _Union):
+    """(left row, right rows) of a block: possible pairs of different groups that are not joined when they are asked for."""
+    side = pdf["is_left"].to_numpy(bool)
+    left, right = np.flatnonzero(side), np.flatnonzero(~side)
+    planes = np.ascontiguousarray(pdf[PLANES].to_numpy(np.int64)).view(np.uint64)
+    n, least = pdf["n"].to_numpy(np.int64), _least_equal(least_pct)
+    for i in left.tolist():
+        equal = np.zeros(len(right), np.int64)
+        for half in (0, 1):
+            apart = np.zeros(len(right), np.uint64)
+            for b in range(4):
+                apart |= planes[right, 2 * b + half] ^ planes[i, 2 * b + half]
+            equal += np.bitwise_count(~apart)
+        good = (equal >= least) & (100 * np.minimum(n[i], n[right]) >= least_pct * np.maximum(n[i], n[right]))
+        good &= union.label[groups[i]] != union.label[groups[right]]
+        if good.any():
+            yield i, right[good]
+
+
+def _forest(least_pct: int):
+    """Joins components by pairs that are possible; gives the joins (a, b), as components."""
+
+    def task(pdf: pd.DataFrame) -> pd.DataFrame:
+        comps, groups = np.unique(pdf["comp"].to_numpy(np.int64), return_inverse=True)
+        union, out = _Union(len(comps)), []
+        for i, rows in _open_pairs(pdf, least_pct, groups, union):
+            found = [(int(groups[i]), int(g)) for g in np.unique(groups[rows]) if union.join(int(groups[i]), int(g))]
+            if found:
+                out += found
+                union.relabel()
+        return pd.DataFrame([(comps[x], comps[y]) for x, y in out], columns=["a", "b"], dtype=np.int64)
+
+    return task
+
+
+def _decided(least_pct: int):
+    """Joins components by pairs whose full sets link; gives the links (a, b), as classes."""
+
+    def task(pdf: pd.DataFrame) -> pd.DataFrame:
+        comps, groups = np.unique(pdf["comp"].to_numpy(np.int64), return_inverse=True)
+        cls, n = pdf["cls"].to_numpy(np.int64), pdf["n"].to_numpy(np.int64)
+        elements = [np.frombuffer(e, np.uint64) for e in pdf["elements"]]
+        union, out = _Union(len(comps)), []
+        for i, rows in _open_pairs(pdf, least_pct, groups, union):
+            # the elements of all candidates at once: which of them does i hold?
+            flat = np.concatenate([elements[k] for k in rows])
+            at = np.minimum(np.searchsorted(elements[i], flat), n[i] - 1)
+            both = np.add.reduceat(elements[i][at] == flat, np.cumsum(n[rows]) - n[rows], dtype=np.int64)
+            linked = rows[100 * both >= least_pct * (n[i] + n[rows] - both)]
+            found = [(int(cls[i]), int(cls[k])) for k in linked.tolist() if union.join(int(groups[i]), int(groups[k]))]
+            if found:
+                out += found
+                union.relabel()
+        return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
+
+    return task
+
+
 def near_groups(docs: DataFrame, least_pct: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per row of ``docs``: id_col, n_shingles, component_id, kept.
 
@@ -179,32 +290,28 @@ def near_groups(docs: DataFrame, least_pct: int = 80, id_col: str = "doc_id", te
         .select(F.col("r.cls").alias("a"), F.col("m.cls").alias("b")).distinct()
     )
     stars = saved(stars, "stars")
-    sets = _sets_of(texts, stars)
+    sets = _sets_of(texts, stars.select("a").union(stars.select("b")))
     links = saved(_verified(stars, sets, least_pct), "links")
     found = saved(connected_components(links), "components")
 
-    # what the stars left open: buckets with several components
+    # what the stars left open: buckets with several components; a forest of the pairs that are possible across them
     placed = members.join(found, F.col("m.cls") == F.col("node"), "left").select(
-        "bucket", "m", F.coalesce("component", F.col("m.cls")).alias("comp")
+        "bucket", F.coalesce("component", F.col("m.cls")).alias("comp"), "m.*"
     )
-    parts = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("size"))
-    largest = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("comps"), F.max(F.struct("size", "comp"))["comp"].alias("largest")).filter("comps > 1")
-    open_ = saved(placed.join(largest.select("bucket", "largest"), "bucket"), "open")
-    left = open_.filter("comp != largest").select("bucket", F.col("m").alias("l"), F.col("comp").alias("lc"))
-    right = open_.select("bucket", F.col("m").alias("r"), F.col("comp").alias("rc"), (F.col("comp") == F.col("largest")).alias("big"))
-    across = (F.col("lc") != F.col("rc")) & (F.col("big") | (F.col("l.cls") < F.col("r.cls")))
-    rest = (
-        left.join(right, (left["bucket"] == right["bucket"]) & across & _possible("l", "r", least_pct))
-        .select(F.least("l.cls", "r.cls").alias("a"), F.greatest("l.cls", "r.cls").alias("b")).distinct()
-        .join(stars, ["a", "b"], "left_anti")
-    )
-    rest = saved(rest, "rest")
-    if not rest.isEmpty():
-        more = _sets_of(texts, rest)
-        links = links.unionByName(_verified(rest, more, least_pct))
+    forest = _across(placed, "bucket", _forest(least_pct), "a long, b long", ["cls", "comp", "n", *PLANES])
+    clusters = connected_components(saved(forest.distinct(), "forest"))
+    clusters = saved(clusters.select(F.col("node").alias("comp"), F.col("component").alias("cluster")), "clusters")
+    if not clusters.isEmpty():
+        # every pair that is still open lies in one cluster, where the full sets decide
+        inside = classes.select("cls", "n", *PLANES).join(found, F.col("cls") == F.col("node"), "left")
+        inside = inside.select("cls", "n", *PLANES, F.coalesce("component", "cls").alias("comp")).join(clusters, "comp")
+        inside = saved(inside, "open")
+        more = _sets_of(texts, inside.select("cls"))
+        inside = inside.join(more, F.col("cls") == F.col("id"))
+        last = _across(inside, "cluster", _decided(least_pct), "a long, b long", ["cls", "comp", "n", *PLANES, "elements"])
+        links = saved(links.unionByName(last), "links")
         found = saved(connected_components(links), "components")
-        drop(more)
-    drop(members, open_, sets)
+    drop(members, sets)
 
     groups = classes.select("d0", "d1", "cls", "copies").join(found, F.col("cls") == F.col("node"), "left")
     groups = groups.select(F.struct("d0", "d1").alias("d"), "copies", F.coalesce("component", "cls").alias("component_id"))
@@ -217,9 +324,9 @@ def near_groups(docs: DataFrame, least_pct: int = 80, id_col: str = "doc_id", te
     ).withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
 
 
-def _sets_of(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(id, elements): the full sets of the classes in ``pairs``; one row an id."""
-    ids = saved(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
+def _sets_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, elements): the full sets of the classes in the one column of ``ids``; one row an id."""
+    ids = saved(ids.toDF("id").distinct(), "ids")
     wanted = texts.join(ids, "id", "left_semi").mapInArrow(_sets, "id long, elements binary")
     return saved(wanted.groupBy("id").agg(F.first("elements").alias("elements")), "sets")
 
