@@ -131,7 +131,7 @@ def image_kind(content: Column) -> Column:
     return (
         F.when(head.startswith("89504E470D0A1A0A"), "png")
         .when(head.startswith("FFD8FF"), "jpeg")
-        .when(head.rlike("^4749463837?39?61"), "gif")
+        .when(head.rlike("^47494638(37|39)61"), "gif")
         .when(head.startswith("424D"), "bmp")
         .when(head.rlike("^52494646.{8}57454250"), "webp")
         .when(head.rlike("^(49492A00|4D4D002A)"), "tiff")
