@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
 import os
+import tempfile
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, replace
 
@@ -12,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import cjk_gaps, dataset_of_path, keyword_hits, tidy
+from .values import RECOGNISER_WORDS
 
 EMPTY, TIMEOUT = "OCR_EMPTY_RESULT", "OCR_ERROR_TIMEOUT"
 
@@ -112,6 +115,24 @@ def otsu_level(histogram: list[int]) -> int:
     return level
 
 
+def user_words(datasets: Iterable[str] = RECOGNISER_WORDS, lines: Iterable[str] = ()) -> tuple[str, ...]:
+    """The words recognition is told of: the built-in ones of the datasets and a file's lines, sorted, each once."""
+    own = (w for d in datasets for w in RECOGNISER_WORDS.get(d, ()))
+    return tuple(sorted({w for w in (x.strip() for x in (*own, *lines)) if w and not w.startswith("#")}))
+
+
+def _options(config: Config) -> str:
+    """The engine's options; user words go to a file of the worker that runs, since options name one."""
+    if not config.user_words:
+        return f"--psm {config.mode}"
+    name = hashlib.sha256("\n".join(config.user_words).encode()).hexdigest()[:16]
+    path = os.path.join(tempfile.gettempdir(), f"quillmill-words-{os.getpid()}-{name}.txt")
+    if not os.path.exists(path):
+        with open(path, "w", encoding="utf-8") as f:
+            f.write("\n".join(config.user_words) + "\n")
+    return f'--psm {config.mode} --user-words "{path}"'
+
+
 def tesseract(content: bytes, config: Config) -> tuple[str, str]:
     """(text or a sentinel, signature) by pytesseract, where it and Pillow are installed."""
     try:
@@ -121,7 +142,7 @@ def tesseract(content: bytes, config: Config) -> tuple[str, str]:
     except ImportError as e:
         return f"OCR_ERROR_IMPORT: {e}", signature(config)
     try:
-        text = pytesseract.image_to_string(image, lang=used.language, config=f"--psm {used.mode}", timeout=used.timeout_s)
+        text = pytesseract.image_to_string(image, lang=used.language, config=_options(used), timeout=used.timeout_s)
     except RuntimeError as e:
         return (TIMEOUT if "timeout" in str(e).lower() else f"OCR_ERROR_REAL: {e}"), signature(used)
     except Exception as e:  # noqa: BLE001  an image that cannot be read becomes a row, not a failed job

@@ -104,6 +104,21 @@ def first_images(spark: SparkSession, path: str, k: int) -> DataFrame:
     return image_listing(spark, path).orderBy("image_path").limit(min(k, 50)).select("image_path", "size")
 
 
+def sample_with_content(spark: SparkSession, path: str, k: int) -> DataFrame:
+    """The k first images by path, with content: names are sorted first, and only the chosen files are read."""
+    chosen = [r.image_path for r in images(spark, path, content=False).orderBy("image_path").limit(min(k, 50)).collect()]
+    raw = spark.read.format("binaryFile").load(chosen) if chosen else spark.read.format("binaryFile").load(path).limit(0)
+    return real_images(raw.select(F.col("path").alias("image_path"), F.col("content").alias("image_content")))
+
+
+def records(spark: SparkSession, rows: Sequence[dict]) -> DataFrame:
+    """A table of given records, types by their values; none raises."""
+    if not rows:
+        raise ValueError("no records")
+    names = list(dict.fromkeys(k for r in rows for k in r))
+    return spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], names)
+
+
 def batches(paths: Sequence[str], size: int, most: int) -> list[list[str]]:
     """Paths without blanks in batches of min(size, most), 1 at least."""
     paths = [p.strip() for p in paths if p and p.strip()]

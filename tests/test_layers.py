@@ -6,9 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillmill.operators import gates, recognise
-from quillmill.plans import catalogue
+from quillmill.plans import catalogue, runtime
 from quillmill.plans.layers import Layers
-from quillmill.sources import files
+from quillmill.sources import files, keys
 from quillmill.sources.store import TableStore
 from quillmill.streaming import increment
 
@@ -68,6 +68,57 @@ def test_files_and_metrics(spark, tmp_path):
         files.read_json(spark, f"file:{tmp_path}/list.json")
 
 
+def test_keys_and_records(spark):
+    from datetime import datetime
+
+    at = datetime(2026, 1, 2, 3, 4, 5)
+    assert keys.file_name("C:\\x\\_my  photo(1).PNG") == "my_photo_1.PNG"
+    assert keys.file_name(".png", at) == "image_20260102_030405.png" and keys.object_key("a.png", "drinks", "../s ub/") == "raw/images/drinks/sub/a.png"
+    for bad in ("", "..", "/"):
+        with pytest.raises(ValueError):
+            keys.file_name(bad)
+    taken = {"d/a.png", "d/a_20260102_030405.png"}
+    assert keys.free_key("d/a.png", taken.__contains__, now=at) == ("d/a_20260102_030405_1.png", True)
+    assert keys.free_key("d/a.png", taken.__contains__, overwrite=True) == ("d/a.png", False) and keys.free_key("d/b.png", taken.__contains__) == ("d/b.png", False)
+    assert sorted(files.records(spark, [{"a": 1}, {"a": 2, "b": "x"}]).collect()) == [(1, None), (2, "x")]
+    with pytest.raises(ValueError):
+        files.records(spark, [])
+
+
+def test_runtime(spark, tmp_path):
+    import time
+
+    from quillmill.operators import audit
+
+    slots = runtime.Slots()
+    with slots.slot({"percent": 10, "available_mb": 9000}):
+        with pytest.raises(runtime.LimitError):
+            with slots.slot({}):
+                pass
+    for now in ({"percent": 90, "available_mb": 9000}, {"percent": 10, "available_mb": 100}):
+        with pytest.raises(runtime.LimitError):
+            runtime.check_memory(runtime.Limits(), now)
+    with pytest.raises(runtime.LimitError):
+        runtime.check_count(101, 100, "images")
+    with runtime.time_limit(spark, 60):
+        assert spark.range(5).count() == 5
+    with pytest.raises(runtime.LimitError):
+        with runtime.time_limit(spark, 2):
+            spark.range(4).repartition(4).selectExpr("java_method('java.lang.Thread', 'sleep', 8000L + id) as x").collect()
+    jobs = runtime.Jobs(keep=2)
+    done = jobs.start("a", lambda report: report(step=1) or 7)
+    assert jobs.wait(done, 10).result == 7 and jobs.get(done).progress == {"step": 1}
+    bad = jobs.wait(jobs.start("b", lambda _: 1 / 0), 10)
+    assert bad.status == "failed" and "zero" in bad.error and jobs.wait(jobs.start("c", lambda _: time.sleep(0)), 10).status == "done" and jobs.get(done) is None
+    up = runtime.ready(spark, f"file:{tmp_path}")
+    assert up["status"] == "ok" and runtime.ready(spark, f"file:{tmp_path}/none")["status"] == "down"
+    told = []
+    out = runtime.probe("d", up, [audit.Finding("x", "WARN", "m")], [{"alert": "upstream_stale", "since": "t"}], notify=lambda d, i: told.append((d, len(i))))
+    assert not out["ok"] and told == [("d", 2)] and runtime.probe("d", up, [audit.Finding("x", "WARN", "m")], [], strict=False)["ok"]
+    assert runtime.release({"release_id": " r ", "gold": {"processed_image_count": "5"}})["processed_image_count"] == 5
+    assert "珍珠" in recognise.user_words(lines=["# x", "new"]) and "new" in recognise.user_words(lines=["# x", "new"])
+
+
 TEXTS = ["珍珠奶茶 難喝 店員 態度 不耐煩"] * 4 + ["珍珠 好喝 推薦"] * 3 + ["好慢 等太久 出餐 速度 很慢"] * 3
 
 
