@@ -157,6 +157,8 @@ def _possible(x: str, y: str, least_pct: int) -> Column:
 
 #: A block holds at most about so many members, and elements.
 BLOCK_ROWS, BLOCK_ELEMENTS = 1024, 2_000_000
+#: Pairs in a bucket of at most so many members are listed by a join; larger ones are worked on in blocks.
+SMALL_BUCKET = 24
 
 
 def _across(rows: DataFrame, key: str, task, schema: str, columns: list[str]) -> DataFrame:
@@ -298,8 +300,16 @@ def near_groups(docs: DataFrame, least_pct: int = 80, id_col: str = "doc_id", te
     placed = members.join(found, F.col("m.cls") == F.col("node"), "left").select(
         "bucket", F.coalesce("component", F.col("m.cls")).alias("comp"), "m.*"
     )
-    forest = _across(placed, "bucket", _forest(least_pct), "a long, b long", ["cls", "comp", "n", *PLANES])
-    clusters = connected_components(saved(forest.distinct(), "forest"))
+    placed = saved(placed, "placed")
+    large = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
+    forest = _across(
+        placed.join(large.filter(F.col("size") > SMALL_BUCKET).select("bucket"), "bucket"), "bucket", _forest(least_pct), "a long, b long", ["cls", "comp", "n", *PLANES]
+    )
+    # a small bucket's pairs are bounded by its size, so a join may list them
+    few = placed.join(large.filter(F.col("size") <= SMALL_BUCKET).select("bucket"), "bucket").select("bucket", "comp", F.struct("n", *PLANES).alias("m"))
+    l, r = few.withColumnsRenamed({"m": "l", "comp": "a"}), few.withColumnsRenamed({"m": "r", "comp": "b"})
+    few = l.join(r, "bucket").filter((F.col("a") < F.col("b")) & _possible("l", "r", least_pct)).select("a", "b")
+    clusters = connected_components(saved(forest.unionByName(few).distinct(), "forest"))
     clusters = saved(clusters.select(F.col("node").alias("comp"), F.col("component").alias("cluster")), "clusters")
     if not clusters.isEmpty():
         # every pair that is still open lies in one cluster, where the full sets decide
@@ -311,7 +321,7 @@ def near_groups(docs: DataFrame, least_pct: int = 80, id_col: str = "doc_id", te
         last = _across(inside, "cluster", _decided(least_pct), "a long, b long", ["cls", "comp", "n", *PLANES, "elements"])
         links = saved(links.unionByName(last), "links")
         found = saved(connected_components(links), "components")
-    drop(members, sets)
+    drop(members, placed, sets)
 
     groups = classes.select("d0", "d1", "cls", "copies").join(found, F.col("cls") == F.col("node"), "left")
     groups = groups.select(F.struct("d0", "d1").alias("d"), "copies", F.coalesce("component", "cls").alias("component_id"))
