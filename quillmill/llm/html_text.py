@@ -13,8 +13,9 @@ sum. A chosen subtree within an ``article``, or else a ``main``, is widened to i
 how far it goes.
 
 Inline elements (b, span, br ...) are part of their parent's text, not nodes. Menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles and reader comments are left out by element, role, class or id. A class or id
-that merely begins or ends with such a word counts only if its element holds no more than half of the page's text.
+notices, adverts, forms, scripts, styles and reader comments are left out by element, role, class or id, where such a
+word is the whole or the last part of the name. A name that merely begins with one (``menu-open``) counts only if its
+element holds no more than half of the page's text. A header within an article belongs to it.
 
 Blocks are what lies between the tags of block elements: character references are decoded, white space (by Unicode)
 becomes one space, blocks are joined by a line feed in page order. Nothing is cut or capped.
@@ -29,6 +30,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from html import unescape
 
 import pyarrow as pa
@@ -79,8 +81,12 @@ _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)
 _WORDS = re.compile(r"[a-z0-9]+")
 
 
-def _hint(attributes: str) -> int:
-    """2: boilerplate by role, class or id; 1: perhaps; 0: no sign of it."""
+#: Words before the last of a class or id that turn its meaning round.
+TURNED = frozenset("has no non with without".split())
+
+
+def _hint(attributes: str, in_article: bool = False) -> int:
+    """2: boilerplate by role, class or id; 1: perhaps; 0: no sign of it. A header in an article is part of it."""
     found = 0
     if re.search(r"(?:^|\s)hidden(?:\s|=|$)", attributes):
         return 2
@@ -90,10 +96,12 @@ def _hint(attributes: str) -> int:
             return 2
         if name in ("class", "id"):
             for token in value.split():
-                if token in LEFT_OUT_WORDS:
-                    return 2
                 parts = _WORDS.findall(token)
-                if parts and (parts[0] in LEFT_OUT_WORDS or parts[-1] in LEFT_OUT_WORDS):
+                if not parts or (in_article and parts[-1] == "header"):
+                    continue
+                if parts[-1] in LEFT_OUT_WORDS and (len(parts) == 1 or parts[-2] not in TURNED):
+                    return 2
+                if parts[0] in LEFT_OUT_WORDS:
                     found = 1
     return found
 
@@ -115,9 +123,21 @@ class _Page:
 
     def _read(self, html: str) -> None:
         stack, block, links, at = [0], 0, 0, 0
+        open_: Counter[str] = Counter()  # how many elements of each name are open, so that none is looked for in vain
+
+        def close(k: int) -> None:
+            for n in stack[k:]:
+                open_[self.tag[n]] -= 1
+            del stack[k:]
+
         text, size = self.text, len(html)
+        last = html.rfind(">") + 1  # no tag ends after this
         hidden_inline = 0  # depth of inline elements that are boilerplate, each an own node on the stack
         while at < size:
+            if at >= last:
+                comment = html.find("<!--", at)
+                self._text(stack[-1], block, html[at : comment if comment >= 0 else size], links)
+                break
             m = _TAG.search(html, at)
             end = m.start() if m else size
             if end > at:
@@ -134,16 +154,16 @@ class _Page:
                     links = 0
                 if name in INLINE:
                     if hidden_inline and self.tag[stack[-1]] == name:
-                        stack.pop()
+                        close(len(stack) - 1)
                         hidden_inline -= 1
                     continue
                 block += 1
-                for k in range(len(stack) - 1, 0, -1):
-                    open_ = self.tag[stack[k]]
-                    if open_ == name:
-                        del stack[k:]
+                for k in range(len(stack) - 1, 0, -1) if open_[name] else ():
+                    tag = self.tag[stack[k]]
+                    if tag == name:
+                        close(k)
                         break
-                    if open_ in ("td", "th", "table") and name not in ("td", "th", "tr", "tbody", "thead", "tfoot", "table", "body", "html"):
+                    if tag in ("td", "th", "table") and name not in ("td", "th", "tr", "tbody", "thead", "tfoot", "table", "body", "html"):
                         break
                 continue
             if name in INLINE:
@@ -154,35 +174,36 @@ class _Page:
                     self.link_tags[stack[-1]] += 1
                 if name not in VOID and attributes and _hint(attributes) == 2 and not attributes.endswith("/"):
                     stack.append(self._node(name, stack[-1], 2))
+                    open_[name] += 1
                     hidden_inline += 1
                 continue
             block += 1
             for kind in ENDS.get(name, ()):
                 fence = FENCE.get(kind, TABLE)
-                for k in range(len(stack) - 1, 0, -1):
-                    open_ = self.tag[stack[k]]
-                    if open_ == kind:
-                        del stack[k:]
+                for k in range(len(stack) - 1, 0, -1) if open_[kind] else ():
+                    tag = self.tag[stack[k]]
+                    if tag == kind:
+                        close(k)
                         break
-                    if open_ in fence:
+                    if tag in fence:
                         break
-            if name in ("html", "body") and any(self.tag[n] == name for n in stack):
+            if name in ("html", "body") and open_[name]:
                 continue
             if name == "body":
-                del stack[2 if len(stack) > 1 and self.tag[stack[1]] == "html" else 1 :]
-            sign = 2 if name in LEFT_OUT else 0 if name in ("html", "body", "main", "article") and not attributes else _hint(attributes) if attributes else 0
-            if name in ("html", "body", "main"):
-                sign = 0
-            if name == "header" and not any(self.tag[n] in ("article", "main") for n in stack):
-                sign = 2
+                close(2 if len(stack) > 1 and self.tag[stack[1]] == "html" else 1)
+            sign = 2 if name in LEFT_OUT else 0
+            if name == "header" or (attributes and not sign and name not in ("html", "body", "main")):
+                in_article = open_["article"] + open_["main"] > 0
+                sign = 2 if name == "header" and not in_article else _hint(attributes, in_article)
             node = self._node(name, stack[-1], sign)
             if name == "body" and not self.body:
                 self.body = node
             if name in RAW and not attributes.endswith("/"):
-                close = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.IGNORECASE).search(html, at)
-                at = close.end() if close else size
+                stop = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.IGNORECASE).search(html, at)
+                at = stop.end() if stop else size
             elif name not in VOID and not (attributes.endswith("/") and name in ("path", "rect")):
                 stack.append(node)
+                open_[name] += 1
 
     def _text(self, node: int, block: int, raw: str, links: int) -> None:
         self.text.append((node, block, raw))

@@ -198,6 +198,12 @@ def test_main_text_of_pages(spark):
       <section id="comments"><article><p>Great!</p></article></section><form><button>Go</button></form></body>"""
     assert html_text.main_text(no_article) == "Title\nA first paragraph that is long enough.\nAnd the second one, long enough too.\none\ntwo"
     assert [html_text.main_text(h) for h in (None, "", "<p>", "<script>x</script>", "plain", "<p>a<p>b", "<b", "<!-- x")] == ["", "", "", "", "plain", "a\nb", "<b", ""]
+    long_comments = "<p>A comment that goes on and on, as reader comments do at times.</p>" * 30
+    page = f"""<body class="has-sidebar"><div class="page menu-open content-with-sidebar"><header><h1>Site</h1></header><article class="post no-comments">
+      <div class="post-header"><h1>Title</h1></div><p>The story is short but it is the story.</p><div class="cookie-notice">We use cookies</div>
+      <div class="share-links">Share</div></article><div class="page-sidebar"><p>Other things that are not the story at all.</p></div>
+      <section class="reader-comments">{long_comments}</section></div></body>"""
+    assert html_text.main_text(page) == "Title\nThe story is short but it is the story."
     deep = "<div>" * 50000 + "deep" + "</div>" * 50000
     assert html_text.main_text(deep) == "deep"
     pages = spark.createDataFrame([(1, "u", PAGE, "x"), (2, "v", None, "x"), (2, "v", None, "x")], "page_id long, url string, html string, n_chars string")
