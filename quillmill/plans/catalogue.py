@@ -198,10 +198,10 @@ def stopword_effective(spark, d):
 
 @query(
     "lexicon_hash",
-    f"WITH {SQL_TOKENS} SELECT sha256(string_agg(w, chr(10) ORDER BY encode(w))) AS lexicon_hash FROM (SELECT DISTINCT w FROM word WHERE doc_id < 200)",
+    "SELECT sha256(string_agg(w, chr(10) ORDER BY encode(w))) AS lexicon_hash FROM (SELECT DISTINCT trim(lower(unnest(string_split(text, ' ')))) AS w FROM benchmark) WHERE w <> ''",
 )
 def lexicon_hash(spark, d):
-    return lexicon.content_hash_of(tokens(spark, d).filter("doc_id < 200").select(F.explode("tokens").alias("w")), "w")
+    return lexicon.content_hash_of(table(spark, d, "benchmark").select(F.explode(F.split("text", " ")).alias("w")), "w")
 
 
 # rows --------------------------------------------------------------------------------------------------------------------
@@ -263,20 +263,20 @@ def missing_raw_anti(spark, d):
 @query(
     "ingest_status",
     """SELECT page_id, url, x.doc_id IS NOT NULL AS in_bronze, CASE WHEN length(x.text) > 160 THEN substr(x.text, 1, 160) || '…' ELSE x.text END AS preview
-    FROM pages LEFT JOIN (SELECT * FROM documents WHERE doc_id % 3 = 0) x ON x.doc_id = page_id""",
+    FROM pages LEFT JOIN (SELECT * FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)) x ON x.doc_id = page_id""",
 )
 def ingest_status(spark, d):
-    bronze = table(spark, d, "documents").filter("doc_id % 3 = 0").select(F.col("doc_id").alias("page_id"), "text")
+    bronze = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left_semi").select(F.col("doc_id").alias("page_id"), "text")
     return rows.ingest_status(table(spark, d, "pages").select("page_id", "url"), bronze, "page_id", "text")
 
 
 def _halves(spark, d):
-    """A source and a target to merge: every document; two thirds of them, some changed, stale, blank or of another version."""
+    """A source and a target to merge: all documents; the labelled ones, some changed, stale, blank or of another version."""
     base = cleaned(spark, d).select(
         F.col("doc_id").cast("string").alias("image_path"), "doc_id", "extracted_text", "cleaned_text", F.col("source").alias("source_bucket"), F.col("source").alias("dataset_id"),
         F.to_timestamp(F.lit("2026-01-01 00:00:00")).alias("at"),
     )
-    target = base.filter("doc_id % 3 <> 0").select(
+    target = base.join(table(spark, d, "labels"), "doc_id", "left_semi").select(
         "image_path", F.when(F.col("doc_id") % 10 == 1, "old").otherwise(F.col("extracted_text")).alias("extracted_text"),
         F.when(F.col("doc_id") % 10 == 2, "").otherwise(F.col("cleaned_text")).alias("cleaned_text"), "source_bucket", F.upper("dataset_id").alias("dataset_id"),
         F.when(F.col("doc_id") % 10 == 4, F.expr("timestamp_micros(0)")).otherwise(F.col("at")).alias("ingestion_timestamp"),
@@ -287,8 +287,8 @@ def _halves(spark, d):
 
 @query(
     "change_detect",
-    f"""WITH {SQL_CLEAN} SELECT doc_id::VARCHAR AS image_path, doc_id % 3 = 0 AS is_new FROM clean
-    WHERE doc_id % 3 = 0 OR doc_id % 10 IN (2, 4, 5, 7) OR (doc_id % 10 = 1 AND text <> 'old') OR trim(cleaned_text) = ''""",
+    f"""WITH {SQL_CLEAN} SELECT doc_id::VARCHAR AS image_path, doc_id NOT IN (SELECT doc_id FROM labels) AS is_new FROM clean
+    WHERE doc_id NOT IN (SELECT doc_id FROM labels) OR doc_id % 10 IN (2, 4, 5, 7) OR (doc_id % 10 = 1 AND text <> 'old') OR trim(cleaned_text) = ''""",
 )
 def change_detect(spark, d):
     source, target = _halves(spark, d)
@@ -297,13 +297,14 @@ def change_detect(spark, d):
 
 @query(
     "upsert_by_key",
-    """SELECT c_custkey, c_name, CASE WHEN c_custkey % 4 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal,
-      CASE WHEN c_custkey % 4 = 0 OR c_custkey % 5 = 0 THEN 'new' END AS note FROM customer""",
+    """SELECT c_custkey, c_name, CASE WHEN c_mktsegment = 'BUILDING' THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal,
+      CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'new' END AS note FROM customer""",
 )
 def upsert_by_key(spark, d):
-    c = table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal")
-    source = c.filter("c_custkey % 4 = 0 or c_custkey % 5 = 0").withColumn("c_acctbal", F.when(F.col("c_custkey") % 4 == 0, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal")))
-    return rows.upserted(c.filter("c_custkey % 5 <> 0"), source.withColumn("note", F.lit("new")), ["c_custkey"])
+    c = table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    more = F.when(F.col("c_mktsegment") == "BUILDING", F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal"))
+    source = c.filter("c_mktsegment in ('BUILDING', 'MACHINERY')").withColumn("c_acctbal", more).withColumn("note", F.lit("new"))
+    return rows.upserted(c.filter("c_mktsegment <> 'MACHINERY'"), source, ["c_custkey"]).drop("c_mktsegment")
 
 
 @query("archive_before_merge", "SELECT o_orderkey, o_totalprice, 'pre_merge' AS archive_reason FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 45)")
@@ -317,16 +318,16 @@ def delete_by_condition(spark, d):
     return rows.without(table(spark, d, "events"), (F.col("value") > 50) & (F.col("event_type") == "click")).select("event_id")
 
 
-@query("delete_older_than_latest", "SELECT event_id, day FROM (SELECT event_id, CASE WHEN event_id % 11 <> 0 THEN date_trunc('day', ts) END AS day FROM events) WHERE day IS NULL OR day >= (SELECT max(date_trunc('day', ts)) FROM events WHERE event_id % 11 <> 0)")
+@query("delete_older_than_latest", "SELECT event_id, day FROM (SELECT event_id, CASE WHEN value >= 5 THEN date_trunc('day', ts) END AS day FROM events) WHERE day IS NULL OR day >= (SELECT max(date_trunc('day', ts)) FROM events WHERE value >= 5)")
 def delete_older_than_latest(spark, d):
-    events = table(spark, d, "events").select("event_id", F.when(F.col("event_id") % 11 != 0, F.date_trunc("day", "ts")).cast("timestamp_ntz").alias("day"))
+    events = table(spark, d, "events").select("event_id", F.when(F.col("value") >= 5, F.date_trunc("day", "ts")).cast("timestamp_ntz").alias("day"))
     return rows.latest_batch_only(events, "day")
 
 
-@query("dataset_scoped_replace", "SELECT event_type AS dataset_id, event_id FROM events WHERE event_type <> 'click' UNION ALL SELECT 'click', event_id + 1000000 FROM events WHERE event_type = 'click' AND event_id % 2 = 0")
+@query("dataset_scoped_replace", "SELECT event_type AS dataset_id, event_id FROM events WHERE event_type <> 'click' UNION ALL SELECT 'click', -event_id FROM events WHERE event_type = 'click' AND value > 20")
 def dataset_scoped_replace(spark, d):
-    old = table(spark, d, "events").select(F.col("event_type").alias("dataset_id"), "event_id")
-    new = old.filter("dataset_id = 'click' and event_id % 2 = 0").withColumn("event_id", F.col("event_id") + 1000000)
+    events = table(spark, d, "events").select(F.col("event_type").alias("dataset_id"), "event_id", "value")
+    old, new = events.drop("value"), events.filter("dataset_id = 'click' and value > 20").select("dataset_id", (-F.col("event_id")).alias("event_id"))
     return rows.dataset_replaced(old, new, "click")
 
 
