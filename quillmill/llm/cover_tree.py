@@ -185,16 +185,27 @@ def traverse(x: np.ndarray, copies: np.ndarray, path: np.ndarray, split: int, co
             good = np.einsum("ij,ij->i", xa[u], xb[v]) >= cosine
             links.pairs(u[good], v[good] + off)
 
-    # the first level: all centres against all, by rows
+    # the first level: all centres against all, by rows. Nodes of one point have no radius, so for two of them the bound is
+    # the threshold itself: products in single precision, with a slack far above their error, choose what to compare
     a, b, found = first[0], second[0], []
-    for at in range(0, len(a.centre), 1024):
-        d = np.sqrt(np.maximum(0.0, 2 - 2 * (xa[a.centre[at : at + 1024]] @ xb[b.centre].T)))
-        near = d <= a.radius[at : at + 1024, None] + b.radius[None, :] + (tau + SLACK)
-        i, j = np.nonzero(near)
-        if one:
-            upper = i + at <= j
-            i, j = i[upper], j[upper]
-        found.append(sift(0, i + at, j, d[i, j]))
+    lone_a, lone_b = np.flatnonzero(a.count == 1), np.flatnonzero(b.count == 1)
+    more_a, more_b = np.flatnonzero(a.count > 1), np.flatnonzero(b.count > 1)
+    right = xb[b.centre[lone_b]].astype(np.float32).T
+    for at in range(0, len(lone_a), 1024):
+        rows = lone_a[at : at + 1024]
+        p, q = np.nonzero(xa[a.centre[rows]].astype(np.float32) @ right >= np.float32(cosine - 1e-4 - 1.2e-7 * x.shape[1]))
+        p, q = a.centre[rows[p]], b.centre[lone_b[q]]
+        compare(p[p < q], q[p < q]) if one else compare(p, q)
+    for left, right in ((more_a, np.arange(len(b.centre))), (lone_a, more_b)):
+        for at in range(0, len(left), 1024):
+            rows = left[at : at + 1024]
+            d = np.sqrt(np.maximum(0.0, 2 - 2 * (xa[a.centre[rows]] @ xb[b.centre[right]].T)))
+            p, q = np.nonzero(d <= a.radius[rows, None] + b.radius[None, right] + (tau + SLACK))
+            i, j, d = rows[p], right[q], d[p, q]
+            if one:  # a pair of nodes comes up once: of two nodes with points, by number; else as (more, lone) only
+                once = (i <= j) | (b.count[j] == 1) if left is more_a else np.zeros(len(i), bool)
+                i, j, d = i[once], j[once], d[once]
+            found.append(sift(0, i, j, d))
     i, j = (np.concatenate(f) for f in zip(*found, strict=True)) if found else (np.zeros(0, int), np.zeros(0, int))
     for level in range(1, path.shape[1]):
         if not len(i):
