@@ -85,10 +85,13 @@ def fresh_index(spark: SparkSession) -> DigestIndex:
 
 
 def dedup_exact(docs: DataFrame, index: DigestIndex | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, all columns unchanged; ids are taken to be unique."""
-    kept = resolve(docs, index or fresh_index(docs.sparkSession), id_col, text_col).filter("kept").select(F.col(id_col).alias("_qm_keep"))
-    kept = saved(kept.distinct(), "kept")
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["_qm_keep"]), "left_semi")
+    """The rows of ``docs`` that stay, all columns unchanged; ids are taken to be unique, and rows without one stay.
+
+    The ids that go are anti-joined: they are fewer than those that stay, so Spark may find them small enough to broadcast.
+    """
+    out = resolve(docs, index or fresh_index(docs.sparkSession), id_col, text_col)
+    gone = saved(out.filter(~F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_qm_gone")).distinct(), "gone")
+    return docs.join(gone, docs[id_col] == gone["_qm_gone"], "left_anti")
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -348,9 +348,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, least_pct: int) -> DataFrame:
 
 
 def dedup_near(docs: DataFrame, least_pct: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay: of every group of near duplicates the one with the smallest id."""
-    kept = saved(near_groups(docs, least_pct, id_col, text_col).filter("kept").select(F.col(id_col).alias("_qm_keep")).distinct(), "near-kept")
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["_qm_keep"]), "left_semi")
+    """The rows of ``docs`` that stay: of every group of near duplicates the one with the smallest id; rows without id stay."""
+    out = near_groups(docs, least_pct, id_col, text_col)
+    gone = saved(out.filter(~F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_qm_gone")).distinct(), "near-gone")
+    return docs.join(gone, docs[id_col] == gone["_qm_gone"], "left_anti")
 
 
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
