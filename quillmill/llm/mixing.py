@@ -3,7 +3,7 @@
 Method: a source's weight is a schedule over training time t in [0, 1], here linear: ``w(t) = w * (1 + slope * (2t - 1))``
 with a slope in [-1, 1] of its own. Its integral from 0 to t, ``w * ((1 - slope) * t + slope * t^2)``, is the share of
 the source's token demand that is used up by time t. Every document covers a span of its source's cumulative tokens (in
-the order of a hash of its id, pass after pass); the inverse of the integral at the span's start is the document's
+the order of a hash of its id, pass after pass; rows without an id come last); the inverse of the integral at the span's start is the document's
 training position, and the mix is the documents range-sorted by position.
 
 Targets: the mix holds as many words as all documents. Sources share them by weight, but none above ``most`` times its
@@ -57,14 +57,23 @@ def targets(sizes: DataFrame, weights=WEIGHTS, slopes=SLOPES, most: int = MOST)
     return rows.select("source", "source_size", "weight", "slope", F.least("cap", F.col("_qm_final") * F.col("weight")).alias("target"))
 
 
-def allocate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **schedule) -> DataFrame:
-    """A row per document: id_col, source, size, source_size, target, slope, start (its first token of the source), taken."""
-    rows = docs.select(F.col(id_col).alias("_qm_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
-    rows = saved(rows.withColumn("_qm_h", F.md5(F.coalesce(F.col("_qm_id").cast("string"), F.lit("")))), "mix-sizes")
+def allocate(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", row_col: str | None = None, **schedule
+) -> DataFrame:
+    """A row per document: id_col, source, size, source_size, target, slope, start (its first token of the source), taken.
+
+    ``row_col``, a column unique by row, goes along if it is given.
+    """
+    own = [F.col(row_col).alias("_qm_own")] if row_col else []
+    # rows without an id come last, dealt by their texts: they may be a large part of a source
+    h = F.coalesce(F.md5(F.col(id_col).cast("string")), F.concat(F.lit("g"), F.md5(F.coalesce(F.col(text_col), F.lit("")))))
+    rows = docs.select(F.col(id_col).alias("_qm_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), h.alias("_qm_h"), *own)
+    rows = saved(rows, "mix-sizes")
     sources = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), **schedule)
     sources = saved(sources.withColumnRenamed("source", "_qm_source"), "mix-sources")
     chunk = F.substring("_qm_h", 1, 3)
-    rows = numbered(rows, "source", chunk, [F.col("_qm_h"), F.col("_qm_id"), F.col("size")], "start", F.col("size"))
+    order = [F.col(c) for c in ("_qm_h", "_qm_id", "size", *(["_qm_own"] if row_col else []))]
+    rows = numbered(rows, "source", chunk, order, "start", F.col("size"))
     rows = rows.join(sources, F.col("source").eqNullSafe(F.col("_qm_source")))
     whole = F.round("target").cast("long")
     passes = F.expr("if(source_size > 0, cast(round(target) as bigint) div source_size, 0L)")
@@ -72,6 +81,7 @@ def allocate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     return rows.select(
         F.col("_qm_id").alias(id_col), "source", "size", F.col("source_size").cast("long").alias("source_size"), "target", "slope",
         "start", passes.alias("_qm_passes"), (passes * F.col("size") + part).cast("long").alias("taken"),
+        *([F.col("_qm_own").alias(row_col)] if row_col else []),
     )
 
 
@@ -95,12 +105,16 @@ def stream(allocation: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **schedule) -> DataFrame:
     """The training stream: the rows of ``docs``, each as often as passes take it, range-sorted by position.
 
-    A document that the last pass takes in part is there whole, since texts are never cut. Ids are taken to be unique.
+    A document that the last pass takes in part is there whole, since texts are never cut. Rows are numbered before they
+    are joined to the plan, so rows without an id and rows that repeat one are each taken as often as the plan says.
     """
-    plan = stream(allocate(docs, id_col, text_col, source_col, **schedule))
-    plan = saved(plan.select(F.col(id_col).alias("_qm_id"), "position", "pass"), "mix-plan")
-    rows = docs.join(plan, docs[id_col].eqNullSafe(plan["_qm_id"]))
-    return rows.repartitionByRange(F.col("position"), F.col("_qm_id")).sortWithinPartitions("position", "_qm_id").select(*[docs[c] for c in docs.columns])
+    rows = saved(docs.withColumn("_qm_row", F.monotonically_increasing_id()), "mix-rows")
+    plan = stream(allocate(rows, id_col, text_col, source_col, "_qm_row", **schedule))
+    plan = saved(plan.select(F.col("_qm_row").alias("_qm_own"), "position", "pass"), "mix-plan")
+    plan = plan.withColumnsRenamed({"position": "_qm_position", "pass": "_qm_pass"})
+    order = ["_qm_position", id_col, "_qm_row", "_qm_pass"]
+    rows = rows.join(plan, F.col("_qm_row") == F.col("_qm_own"))
+    return rows.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order).select(*docs.columns)
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -329,6 +329,24 @@ def test_positions_invert_the_schedule(spark):
     assert mixed.columns == docs_of(spark, rows).columns and mixed.count() >= 200
 
 
+def test_mix_takes_rows_not_ids(spark):
+    rows = [(None, f"n{i} x y", "a") for i in range(30)] + [(7, "b b", "b")] * 20 + [(i, f"c{i} z", "c") for i in range(100, 130)] + [(None, "same", None)] * 4
+    docs = docs_of(spark, rows)
+    due = {}
+    for r in mixing.stream(mixing.allocate(docs)).groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum("words").alias("words")).collect():
+        due[r.source] = r["n"]
+    mixed = mixing.mix(docs).collect()
+    taken, texts = {}, {}
+    for r in mixed:
+        taken[r.source] = taken.get(r.source, 0) + 1
+        texts[r.text] = texts.get(r.text, 0) + 1
+    assert taken == due
+    copies = {"b b": 20, "same": 4}
+    assert max(n / copies.get(t, 1) for t, n in texts.items()) <= 3
+    again = mixing.allocate(docs.repartition(3)).collect()
+    assert sorted(map(str, again)) == sorted(map(str, mixing.allocate(docs).collect()))
+
+
 # --- op9 ------------------------------------------------------------------------------------------------------------
 
 
