@@ -25,6 +25,10 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), f"{SPACE}+", " ")
 
 
+def _digest(text: Column) -> Column:
+    return F.unhex(F.sha2(normalised(text).cast("binary"), 256))
+
+
 class DigestIndex:
     """A catalogue table (digest binary, keep_id long), in ``buckets`` buckets sorted by digest.
 
@@ -62,7 +66,7 @@ def resolve(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_co
     ``keep_id`` is the id that the index holds for the text after the batch was appended: that of an earlier batch if
     one had the text, else the batch's smallest. ``kept`` marks the rows that stay.
     """
-    rows = docs.select(F.col(id_col).alias("_qm_id"), F.unhex(F.sha2(normalised(F.col(text_col)).cast("binary"), 256)).alias("digest"))
+    rows = docs.select(F.col(id_col).alias("_qm_id"), _digest(F.col(text_col)).alias("digest"))
     rows = saved(rows, "digests")
     groups = rows.groupBy("digest").agg(F.min("_qm_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     groups = saved(groups, "digest-groups")
@@ -85,13 +89,15 @@ def fresh_index(spark: SparkSession) -> DigestIndex:
 
 
 def dedup_exact(docs: DataFrame, index: DigestIndex | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, all columns unchanged; ids are taken to be unique, and rows without one stay.
+    """The rows of ``docs`` that stay, all columns unchanged; rows without an id stay.
 
-    The ids that go are anti-joined: they are fewer than those that stay, so Spark may find them small enough to broadcast.
+    The (id, digest) that go are anti-joined: they are fewer than those that stay, so Spark may find them small enough to
+    broadcast. Another text of the same id is not concerned.
     """
     out = resolve(docs, index or fresh_index(docs.sparkSession), id_col, text_col)
-    gone = saved(out.filter(~F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_qm_gone")).distinct(), "gone")
-    return docs.join(gone, docs[id_col] == gone["_qm_gone"], "left_anti")
+    gone = out.filter(~F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_qm_gone"), F.unhex("text_sha256").alias("_qm_digest"))
+    gone = saved(gone.distinct(), "gone")
+    return docs.join(gone, (docs[id_col] == gone["_qm_gone"]) & (_digest(docs[text_col]) == gone["_qm_digest"]), "left_anti")
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -115,13 +115,14 @@ def _signed(batches):
             yield pa.RecordBatch.from_arrays(
                 [
                     ids.slice(row, rows),
+                    batch.column(2).slice(row, rows),
                     pa.array(sizes),
                     pa.array(first.view(np.int64)),
                     pa.array(second.view(np.int64)),
                     pa.ListArray.from_arrays(np.arange(rows + 1, dtype=np.int32) * BANDS, pa.array(bands.ravel())),
                     *[pa.array(planes[:, i].copy()) for i in range(8)],
                 ],
-                names=["id", "n", "d0", "d1", "bands", *PLANES],
+                names=["id", "t", "n", "d0", "d1", "bands", *PLANES],
             )
 
 
@@ -271,8 +272,17 @@ def near_groups(docs: DataFrame, least_pct: int = 80, id_col: str = "doc_id", te
     Linked are texts whose sets overlap by at least ``least_pct`` per cent of their union; ``component_id`` is the smallest
     id that links reach and ``kept`` marks the rows with that id.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    schema = "id long, n long, d0 long, d1 long, bands array<long>, " + ", ".join(f"{p} long" for p in PLANES)
+    return _near_rows(docs, least_pct, id_col, text_col).drop("_qm_t")
+
+
+def _text_digest(text: Column) -> Column:
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
+def _near_rows(docs: DataFrame, least_pct: int, id_col: str, text_col: str) -> DataFrame:
+    """``near_groups`` with ``_qm_t``, the digest of the row's text."""
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), _text_digest(F.col(text_col)).alias("t"))
+    schema = "id long, t binary, n long, d0 long, d1 long, bands array<long>, " + ", ".join(f"{p} long" for p in PLANES)
     signed = saved(texts.mapInArrow(_signed, schema), "signed")
 
     # classes of equal sets; equal sets have equal signatures, so any member's will do
@@ -325,10 +335,11 @@ def near_groups(docs: DataFrame, least_pct: int = 80, id_col: str = "doc_id", te
 
     groups = classes.select("d0", "d1", "cls", "copies").join(found, F.col("cls") == F.col("node"), "left")
     groups = groups.select(F.struct("d0", "d1").alias("d"), "copies", F.coalesce("component", "cls").alias("component_id"))
-    rows = signed.select("id", "n", F.struct("d0", "d1").alias("d"))
+    rows = signed.select("id", "t", "n", F.struct("d0", "d1").alias("d"))
     grouped = attach(rows, groups, "d", "copies", signed.count())
     return grouped.select(
         F.col("id").alias(id_col),
+        F.col("t").alias("_qm_t"),
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.coalesce("component_id", "id")).otherwise(F.col("id")).alias("component_id"),
     ).withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
@@ -337,7 +348,7 @@ def near_groups(docs: DataFrame, least_pct: int = 80, id_col: str = "doc_id", te
 def _sets_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
     """(id, elements): the full sets of the classes in the one column of ``ids``; one row an id."""
     ids = saved(ids.toDF("id").distinct(), "ids")
-    wanted = texts.join(ids, "id", "left_semi").mapInArrow(_sets, "id long, elements binary")
+    wanted = texts.select("id", "text").join(ids, "id", "left_semi").mapInArrow(_sets, "id long, elements binary")
     return saved(wanted.groupBy("id").agg(F.first("elements").alias("elements")), "sets")
 
 
@@ -348,10 +359,14 @@ def _verified(pairs: DataFrame, sets: DataFrame, least_pct: int) -> DataFrame:
 
 
 def dedup_near(docs: DataFrame, least_pct: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay: of every group of near duplicates the one with the smallest id; rows without id stay."""
-    out = near_groups(docs, least_pct, id_col, text_col)
-    gone = saved(out.filter(~F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_qm_gone")).distinct(), "near-gone")
-    return docs.join(gone, docs[id_col] == gone["_qm_gone"], "left_anti")
+    """The rows of ``docs`` that stay: of every group of near duplicates the one with the smallest id; rows without id stay.
+
+    Rows go by id and text: another text of the same id is not concerned.
+    """
+    out = _near_rows(docs, least_pct, id_col, text_col)
+    gone = out.filter(~F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_qm_gone"), F.col("_qm_t").alias("_qm_digest"))
+    gone = saved(gone.distinct(), "near-gone")
+    return docs.join(gone, (docs[id_col] == gone["_qm_gone"]) & (_text_digest(docs[text_col]) == gone["_qm_digest"]), "left_anti")
 
 
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

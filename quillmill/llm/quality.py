@@ -184,20 +184,34 @@ def held_out(id_: Column) -> Column:
     return F.crc32(F.coalesce(id_.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
+def _learnt(labels: DataFrame) -> DataFrame:
+    return labels.select(F.col("doc_id").cast("long").alias("id"), F.col("quality").alias("label")).filter(~held_out(F.col("id")))
+
+
 def scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score, predicted; learns ``labels.quality`` of the rows that are not held out only."""
     measured = saved(measure(docs), "measured")
-    learn = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("quality").alias("label")).filter(~held_out(F.col("id")))
-    out = score(measured, fit(measured, learn))
+    out = score(measured, fit(measured, _learnt(labels)))
     return out.select(
         F.col("id").alias("doc_id"), held_out(F.col("id")).alias("held_out"), "score", F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted")
     )
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that are not predicted 0; ids are taken to be unique."""
-    bad = saved(scores(docs, labels, threshold).filter("predicted = 0").select(F.col("doc_id").alias("_qm_bad")), "rejected")
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_qm_bad"]), "left_anti")
+    """The rows of ``docs`` that are not predicted 0, each by its own text, whether or not it has an id of its own."""
+
+    @F.arrow_udf("array<double>")
+    def measures(texts: pa.Array) -> pa.Array:
+        x = np.concatenate([np.zeros((0, len(NAMES))), *(statistics(data, offsets) for _, _, data, offsets in runs(texts))])
+        return pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * len(NAMES), pa.array(x.ravel()))
+
+    @F.arrow_udf("boolean")
+    def good(x: pa.Array) -> pa.Array:
+        return pa.array(model.score(_matrix(x)) >= threshold)
+
+    rows = saved(docs.withColumn("_qm_x", measures("text")), "measured")
+    model = fit(rows.select(F.col("doc_id").cast("long").alias("id"), F.col("_qm_x").alias("x")), _learnt(labels))
+    return rows.filter(good("_qm_x")).select(*docs.columns)
 
 
 def op9_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:

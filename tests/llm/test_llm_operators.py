@@ -163,6 +163,18 @@ def test_near_groups_are_exact(spark, least):
     assert got == plain_groups(rows, least)
 
 
+def test_dedups_decide_by_row(spark):
+    other, text = " ".join(words_of(1, 60)), " ".join(words_of(2, 60))
+    copy = [(1, text), (5, text), (5, other), (None, text), (None, other)]
+    assert sorted(str(r.doc_id) + r.text[:9] for r in exact_dedup.dedup_exact(docs_of(spark, copy)).collect()) == sorted(
+        str(i) + t[:9] for i, t in copy if (i, t) != (5, text)
+    )
+    near = [(1, text), (5, text + " more"), (5, ""), (None, text), (None, other)]
+    assert sorted(str(r.doc_id) + r.text[:9] for r in near_dedup.dedup_near(docs_of(spark, near)).collect()) == sorted(
+        str(i) + t[:9] for i, t in near if (i, t) != (5, text + " more")
+    )
+
+
 def test_near_groups_blocks_and_edges(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "BLOCK_ROWS", 7)
     base = words_of(4, 60)
@@ -364,6 +376,22 @@ def test_quality_on_held_out_labels(spark):
     assert {r.doc_id: r.score for r in quality.scores(docs, flipped).collect()} == pytest.approx({r.doc_id: r.score for r in out})
 
 
+def test_keep_good_decides_by_row(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    texts = {r.predicted: r.doc_id for r in quality.scores(docs, labels).collect()}
+    bad, good = (docs.filter(F.col("doc_id") == texts[k]) for k in (0, 1))
+    no_id, twice = F.lit(None).cast("long"), F.lit(10**12)
+    rows = docs
+    for id_ in (no_id, twice):
+        for d in (bad, good):
+            rows = rows.unionByName(d.withColumn("doc_id", id_))
+    kept = quality.keep_good(rows, labels)
+    assert kept.columns == docs.columns
+    text = good.first().text
+    assert [r.text for r in kept.filter("doc_id is null").collect()] == [text] and [r.text for r in kept.filter(f"doc_id = {10**12}").collect()] == [text]
+
+
 def test_quality_edges(spark):
     docs = docs_of(spark, EDGES)
     none = spark.createDataFrame([], "doc_id long, quality int")
