@@ -6,16 +6,19 @@ tokenizers library's unigram model: a later candidate must be strictly better, a
 order of their starts, so the longest last piece wins. A character that no single-character piece matches may be taken
 as unknown at the least score less 10; it then counts as its UTF-8 bytes (byte fallback). Scores are doubles.
 
-The vocabulary is that of a SentencePiece model file: its pieces with the scores that it gives them. Texts are split at
-Unicode white space and each word is led by U+2581; no piece goes across words, so words are scored one by one and a
-worker keeps the results of up to ``MOST_WORDS`` of them (a bound on memory that changes no result).
-
-Cases: a null text counts as empty: no tokens, score 0; so do texts of white space. Texts of any length are counted
-whole. Repeated rows are counted row by row. An empty table gives an empty result. Only the named columns are read.
+The vocabulary is that of a SentencePiece model file: its pieces with the scores that it gives them. As there, a text is
+led by U+2581 and every space becomes one; runs of them, line feeds, tabs and all other white space are counted like any
+character, as pieces or as bytes. A text is cut where no piece can go across: before a run of U+2581, unless a piece has
+one behind another character, and around line feeds and tabs, unless a piece has them. These parts are scored one by one
+and a worker keeps the results of up to ``MOST_WORDS`` of them (a bound on memory that changes no result). Without
+``whole`` the words alone count: texts are split at Unicode white space and each word is led by U+2581.
+
+Cases: a null text counts as empty: no tokens, score 0. Texts of any length are counted whole. Repeated rows are counted row by row. An empty table gives an empty result. Only the named columns are read.
 """
 
 from __future__ import annotations
 
+import re
 from itertools import repeat
 
 import ahocorasick
@@ -45,12 +48,16 @@ def read_vocabulary(path: str) -> list[tuple[str, float]]:
 
 
 class Counter:
-    def __init__(self, vocabulary: list[tuple[str, float]]):
+    def __init__(self, vocabulary: list[tuple[str, float]], whole: bool = False):
         self.matches = ahocorasick.Automaton()
         for piece, score in vocabulary:
             self.matches.add_word(piece, (len(piece), score))
         self.matches.make_automaton()
         self.unknown = min(s for _, s in vocabulary) - UNKNOWN_PENALTY
+        self.whole, alone = whole, "".join(c for c in "\n\t" if not any(c in p for p, _ in vocabulary))
+        lead = "" if any(LEAD in p.lstrip(LEAD) for p, _ in vocabulary) else LEAD
+        rest = f"[^{lead}{alone}]" if lead or alone else r"[\s\S]"
+        self.parts = re.compile("|".join([f"{lead}*{rest}+" if lead else f"{rest}+", *([f"{lead}+"] if lead else []), *([f"[{alone}]+"] if alone else [])]))
         self.known: dict[str, int] = {}
         self.counts, self.scores = np.zeros(1 << 12, np.int64), np.zeros(1 << 12)
 
@@ -76,9 +83,15 @@ class Counter:
             best[end + 1], pieces[end + 1] = top, least
         return pieces[n], best[n]
 
+    def split(self, text: str) -> list[str]:
+        """Parts, each with its lead, that no piece goes across."""
+        if self.whole:
+            return self.parts.findall(LEAD + text.replace(" ", LEAD)) if text else []
+        return [LEAD + w for w in split_words(text)]
+
     def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(pieces, scores) of whole texts."""
-        split = [split_words(t) for t in texts]
+        split = [self.split(t) for t in texts]
         words = [w for t in split for w in t]
         if len(self.known) > MOST_WORDS:
             self.known.clear()
@@ -90,7 +103,7 @@ class Counter:
             if n > len(self.counts):
                 self.counts, self.scores = np.resize(self.counts, 2 * n), np.resize(self.scores, 2 * n)
             for k, word in enumerate(unknown, first):
-                self.counts[k], self.scores[k] = self.count(LEAD + word)
+                self.counts[k], self.scores[k] = self.count(word)
             self.known.update(zip(unknown, range(first, n), strict=True))
             at[new] = [self.known[words[i]] for i in new]
         ends = np.cumsum([len(t) for t in split])
@@ -99,22 +112,22 @@ class Counter:
         return tuple(s[ends] - s[starts] for s in sums)
 
 
-_LOADED: dict[str, Counter] = {}
+_LOADED: dict[tuple[str, bool], Counter] = {}
 
 
-def load(path: str) -> Counter:
-    if path not in _LOADED:
-        _LOADED[path] = Counter(read_vocabulary(path))
-    return _LOADED[path]
+def load(path: str, whole: bool = False) -> Counter:
+    if (path, whole) not in _LOADED:
+        _LOADED[path, whole] = Counter(read_vocabulary(path), whole)
+    return _LOADED[path, whole]
 
 
-def token_counts(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, n_tokens, best_score) for every whole text."""
+def token_counts(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", whole: bool = False) -> DataFrame:
+    """(id_col, n_tokens, best_score) for every text: with its white space if ``whole``, else of its words."""
     path = path or default_path()
     kind = docs.schema[id_col].dataType.simpleString()
 
     def counted(batches):
-        counter = load(path)
+        counter = load(path, whole)
         for batch in batches:
             for row, texts in text_runs(batch.column(1)):
                 counts, scores = counter.texts(texts)
@@ -126,4 +139,4 @@ def token_counts(docs: DataFrame, path: str | None = None, id_col: str = "doc_id
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return token_counts(spark.read.parquet(f"{sf_dir}/documents.parquet"), whole=True)

@@ -269,6 +269,29 @@ def test_token_counts_are_the_library(spark):
     assert got == {i: len(library.encode(t or "").ids) for i, t in rows}
 
 
+def test_whole_token_counts_are_the_library(spark, tmp_path):
+    from tokenizers import Tokenizer, models, normalizers
+
+    vocabulary = token_counts.read_vocabulary(token_counts.default_path())
+    full = [("<unk>", -1.0)] + [(f"<0x{b:02X}>", -1.0) for b in range(256)] + vocabulary
+    library = Tokenizer(models.Unigram(full, 0, True))
+    library.normalizer = normalizers.Sequence([normalizers.Prepend("▁"), normalizers.Replace(" ", "▁")])
+    rnd = random.Random(4)
+    spans = [(32, 127), (9, 14), (32, 33), (0xA0, 0x250), (0x4E00, 0x6000), (0x2000, 0x2010), (0x2581, 0x2582)]
+    texts = ["a\nb c d", "", " ", "\n", "  a  b   ", "\t\tif x:\r\n    y", "a\u3000b\x1cc", "x" + " " * 40 + "y"]
+    texts += ["".join(chr(rnd.randrange(*rnd.choice(spans))) for _ in range(rnd.randrange(50))) for _ in range(300)]
+    texts += [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").limit(50).collect()]
+    counts = token_counts.load(token_counts.default_path(), True).texts(texts)[0].tolist()
+    assert counts == [len(library.encode(t).ids) for t in texts]
+    docs_of(spark, [(i, t) for i, t in enumerate(texts)] + [(999, None)]).write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id: r.n_tokens for r in token_counts.op6_token_counts(spark, str(tmp_path)).collect()} == dict(enumerate(counts)) | {999: 0}
+
+
+def test_token_parts_suit_the_vocabulary():
+    across = token_counts.Counter([("▁", -1.0), ("a", -1.0), ("a▁a", -1.0), ("\n\n", -0.5)], True)
+    assert across.texts(["a a\n\n\ta"])[0].tolist() == [5]  # ▁, a▁a, two line feeds, a tab, a
+
+
 def test_token_count_ties_take_the_longest_last_piece():
     counter = token_counts.Counter([("a", -1.0), ("b", -1.0), ("ab", -2.0), ("abb", -3.0), ("bb", -2.0)])
     assert counter.count("ab") == (1, -2.0) and counter.count("abb") == (1, -3.0)
