@@ -9,8 +9,8 @@ with C characters, T tags, LC and LT those inside links, b for the body, and 1 f
 (e^2 stands where the paper has e, so that the logarithm's base does not fall to 1 on pages without links.) A node's
 density sum adds up its children's densities. The node with the largest sum, and every node at least as dense as the
 least dense one on the path from it to the body, give the subtrees with the content: of each the part with the largest
-sum. A chosen subtree within an ``article``, or else a ``main``, is widened to it: density says which, the element says
-how far it goes.
+sum. If the node with the largest sum lies within an ``article``, or else a ``main``, all of that is added to them: density
+says which, the element says how far it goes.
 
 Inline elements (b, span, br ...) are part of their parent's text, not nodes. Menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles and reader comments are left out by element, role, class or id, where such a
@@ -257,11 +257,10 @@ class _Page:
         taken = [False] * n
         if article:
             taken[article[-1]] = True
-        else:
-            least = min((density[k] for k in path), default=0.0)
-            for k in range(body, n):
-                if chars[k] and not out[k] and density[k] >= least:
-                    taken[best[k]] = True
+        least = min((density[k] for k in path), default=0.0)
+        for k in range(body, n):
+            if chars[k] and not out[k] and density[k] >= least:
+                taken[best[k]] = True
         for k in range(1, n):
             taken[k] = (taken[k] or taken[parent[k]]) and not out[k]
         taken[0] = taken[0] or body == 0 and best[0] == 0

@@ -223,6 +223,12 @@ def test_main_text_of_pages(spark):
     assert out == [(1, "u", 40), (2, "v", 0), (2, "v", 0)]
 
 
+def test_main_text_of_sibling_articles():
+    articles = ["".join(f"<p>{chr(97 + k)}{i} {'word ' * 79}</p>" for i in range(n)) for k, n in enumerate((8, 6))]
+    page = "<body><div><h1>Head</h1><p>By them</p></div>" + "".join(f"<article>{a}</article>" for a in articles) + "</body>"
+    assert [line.split()[0] for line in html_text.main_text(page).split("\n")] == [f"a{i}" for i in range(8)] + [f"b{i}" for i in range(6)]
+
+
 # --- op5 ------------------------------------------------------------------------------------------------------------
 
 
