@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop, saved
+from .common import attach, drop, saved
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
@@ -52,3 +52,10 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", most_roun
     return up.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(
         up.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
     )
+
+
+def smallest_ids(classes: DataFrame, found: DataFrame) -> DataFrame:
+    """(cls, component_id): the smallest ``least`` among the ``classes`` (cls, least) of a component, for the nodes of ``found``."""
+    members = saved(classes.select("cls", "least").join(found, F.col("cls") == F.col("node")).select("cls", "component", "least"), "members")
+    names = saved(members.groupBy("component").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("_qm_members")), "names")
+    return attach(members, names, "component", "_qm_members", members.count()).select("cls", "component_id")

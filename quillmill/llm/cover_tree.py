@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import attach, drop, numbered, saved
-from .components import connected_components
+from .components import connected_components, smallest_ids
 
 BLOCK, LEVELS, LEAF, SLACK = 8192, 7, 8, 1e-9
 #: Bound of the sample that pivots are taken from, of the pivots, and of the blocks: beyond it blocks get larger.
@@ -311,10 +311,9 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec_id
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.when(fine, v).alias("v"))
     rows = rows.withColumn("key", F.when(F.col("v").isNotNull(), F.sha2(F.array_join(F.transform("v", lambda e: (e + 0.0).cast("string")), ","), 256)))
     rows = saved(rows.withColumn("key", F.when(F.col("id").isNotNull(), F.col("key"))).withColumn("dim", F.size("v")), "vectors")
-    classes = saved(
-        rows.filter("key is not null").groupBy("key", "dim").agg(F.min("id").alias("cls"), F.count(F.lit(1)).alias("copies"), F.first("v").alias("v")),
-        "vector-classes",
-    )
+    classes = rows.filter("key is not null").groupBy("key", "dim").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"), F.first("v").alias("v"))
+    # an id may occur with several vectors, so it cannot name a class
+    classes = saved(classes.withColumn("cls", F.monotonically_increasing_id()), "vector-classes")
     dims = [r.dim for r in classes.select("dim").distinct().collect()]  # lengths of vectors, not vectors
     links = None
     for dim in dims:
@@ -325,8 +324,8 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec_id
     counts = links.groupBy("cls").agg(F.sum("n").alias("n"))
     found = connected_components(links.select(F.col("cls").alias("a"), F.col("other").alias("b")))
     groups = (
-        classes.select("key", "cls", "copies").join(counts, "cls", "left").join(found, F.col("cls") == F.col("node"), "left")
-        .select("key", "copies", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "cls").alias("component_id"))
+        classes.select("key", "cls", "least", "copies").join(counts, "cls", "left").join(smallest_ids(classes, found), "cls", "left")
+        .select("key", "copies", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "least").alias("component_id"))
     )
     out = attach(rows.select("id", F.coalesce("key", F.lit("")).alias("key")), groups, "key", "copies", rows.count())
     return out.select(

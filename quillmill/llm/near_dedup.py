@@ -5,7 +5,7 @@ Method, on the set of distinct 5-word shingles of each whole text:
 1. SuperMinHash (Ertl): every element draws a random permutation of the m registers and the ranks 0..m-1 along it,
    each with a random fraction; a register keeps the least value. The ranks of an element are all different, which
    gives the lower variance. Step j only concerns registers still above j, so a text stops once none is.
-2. Texts with equal sets become one class (the smallest id stands for it), so copies are never paired.
+2. Texts with equal sets become one numbered class, so copies are never paired; a row of its smallest id stands for it.
 3. Banding: 25 bands of 5 registers. A pair at similarity 0.85 shares no band with a probability of 5e-7.
 4. Each class of a bucket is paired with the bucket's smallest class only; pairs go on if their sizes allow the
    threshold and if enough of 128 four-bit registers agree (six standard deviations below what is due). The rest is
@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import attach, drop, saved
-from .components import connected_components
+from .components import connected_components, smallest_ids
 from .shingles import distinct, mix, runs, shingle_hashes, shingle_sets
 
 REGISTERS, BANDS, ROWS = 128, 25, 5
@@ -129,7 +129,7 @@ def _signed(batches):
 def _sets(batches):
     for batch in batches:
         sets = [s.tobytes() for _, s in shingle_sets(batch.column(1))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["id", "elements"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["cls", "elements"])
 
 
 def _confirmed(least_pct: int):
@@ -287,8 +287,10 @@ def _near_rows(docs: DataFrame, least_pct: int, id_col: str, text_col: str) -> D
 
     # classes of equal sets; equal sets have equal signatures, so any member's will do
     classes = signed.filter("n > 0 and id is not null").groupBy("d0", "d1").agg(
-        F.min("id").alias("cls"), F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(c) for c in ("n", *PLANES, "bands")]
+        F.min(F.struct("id", "t")).alias("own"), F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(c) for c in ("n", *PLANES, "bands")]
     )
+    # an id may occur with several texts, so it cannot name a class
+    classes = classes.withColumn("least", F.col("own.id")).withColumn("cls", F.monotonically_increasing_id())
     classes = saved(classes, "classes")
     entries = classes.select("cls", "n", *PLANES, F.explode("bands").alias("bucket"))
     shared = classes.select("cls", F.explode("bands").alias("bucket")).groupBy("bucket").agg(
@@ -302,7 +304,7 @@ def _near_rows(docs: DataFrame, least_pct: int, id_col: str, text_col: str) -> D
         .select(F.col("r.cls").alias("a"), F.col("m.cls").alias("b")).distinct()
     )
     stars = saved(stars, "stars")
-    sets = _sets_of(texts, stars.select("a").union(stars.select("b")))
+    sets = _sets_of(texts, classes, stars.select("a").union(stars.select("b")))
     links = saved(_verified(stars, sets, least_pct), "links")
     found = saved(connected_components(links), "components")
 
@@ -326,15 +328,15 @@ def _near_rows(docs: DataFrame, least_pct: int, id_col: str, text_col: str) -> D
         inside = classes.select("cls", "n", *PLANES).join(found, F.col("cls") == F.col("node"), "left")
         inside = inside.select("cls", "n", *PLANES, F.coalesce("component", "cls").alias("comp")).join(clusters, "comp")
         inside = saved(inside, "open")
-        more = _sets_of(texts, inside.select("cls"))
-        inside = inside.join(more, F.col("cls") == F.col("id"))
+        more = _sets_of(texts, classes, inside.select("cls"))
+        inside = inside.join(more, "cls")
         last = _across(inside, "cluster", _decided(least_pct), "a long, b long", ["cls", "comp", "n", *PLANES, "elements"])
         links = saved(links.unionByName(last), "links")
         found = saved(connected_components(links), "components")
     drop(members, placed, sets)
 
-    groups = classes.select("d0", "d1", "cls", "copies").join(found, F.col("cls") == F.col("node"), "left")
-    groups = groups.select(F.struct("d0", "d1").alias("d"), "copies", F.coalesce("component", "cls").alias("component_id"))
+    groups = classes.select("d0", "d1", "cls", "least", "copies").join(smallest_ids(classes, found), "cls", "left")
+    groups = groups.select(F.struct("d0", "d1").alias("d"), "copies", F.coalesce("component_id", "least").alias("component_id"))
     rows = signed.select("id", "t", "n", F.struct("d0", "d1").alias("d"))
     grouped = attach(rows, groups, "d", "copies", signed.count())
     return grouped.select(
@@ -345,16 +347,16 @@ def _near_rows(docs: DataFrame, least_pct: int, id_col: str, text_col: str) -> D
     ).withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
 
 
-def _sets_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, elements): the full sets of the classes in the one column of ``ids``; one row an id."""
-    ids = saved(ids.toDF("id").distinct(), "ids")
-    wanted = texts.select("id", "text").join(ids, "id", "left_semi").mapInArrow(_sets, "id long, elements binary")
-    return saved(wanted.groupBy("id").agg(F.first("elements").alias("elements")), "sets")
+def _sets_of(texts: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(cls, elements): the full sets of the classes in the one column of ``wanted``; one row a class."""
+    wanted = saved(classes.join(wanted.toDF("cls").distinct(), "cls").select("cls", "own.id", "own.t"), "ids")
+    rows = texts.join(wanted, ["id", "t"]).select("cls", "text").mapInArrow(_sets, "cls long, elements binary")
+    return saved(rows.groupBy("cls").agg(F.first("elements").alias("elements")), "sets")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, least_pct: int) -> DataFrame:
-    x = sets.select(F.col("id").alias("a"), F.col("elements").alias("x"))
-    y = sets.select(F.col("id").alias("b"), F.col("elements").alias("y"))
+    x = sets.select(F.col("cls").alias("a"), F.col("elements").alias("x"))
+    y = sets.select(F.col("cls").alias("b"), F.col("elements").alias("y"))
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_confirmed(least_pct), "a long, b long")
 
 

@@ -85,6 +85,12 @@ def test_cover_tree_links_are_exact(spark):
     assert cover_tree.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_cover_tree_of_an_id_with_several_vectors(spark):
+    rows = [(5, [1.0, 0.0, 0.0]), (5, [0.0, 1.0, 0.0]), (3, [0.01, 1.0, 0.0]), (8, [1.0, 0.01, 0.0]), (9, [0.0, 0.01, 1.0]), (5, [0.0, 0.0, 1.0])]
+    got = cover_tree.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted(tuple(r) for r in got) == [(3, 1, 3, True), (5, 1, 3, False), (5, 1, 5, True), (5, 1, 5, True), (8, 1, 5, False), (9, 1, 5, False)]
+
+
 def test_cover_tree_levels_cover():
     x = np.random.default_rng(1).normal(size=(500, 4))
     x /= np.linalg.norm(x, axis=1)[:, None]
@@ -175,6 +181,16 @@ def test_dedups_decide_by_row(spark):
     )
 
 
+def test_near_groups_of_an_id_with_several_texts(spark):
+    a, b, c = words_of(1, 60), words_of(2, 90), words_of(3, 60)
+    rows = [(5, a), (5, b), (5, c), (3, [*b, "more"]), (8, [*c, "more"]), (9, [*a, "more"]), (None, b)]
+    got = near_dedup.near_groups(docs_of(spark, [(i, " ".join(w)) for i, w in rows]), 80).collect()
+    assert sorted((r.doc_id or 0, r.n_shingles, r.component_id) for r in got) == [(0, 86, 3), (3, 87, 3), (5, 56, 5), (5, 56, 5), (5, 86, 3), (8, 57, 5), (9, 57, 5)]
+    texts = [(1, a), (5, [*a, "more"]), (5, b), (None, a), (None, b)]
+    kept = near_dedup.dedup_near(docs_of(spark, [(i, " ".join(w)) for i, w in texts])).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted((i or 0, " ".join(w)) for i, w in texts if w != [*a, "more"])
+
+
 def test_near_groups_blocks_and_edges(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "BLOCK_ROWS", 7)
     base = words_of(4, 60)
