@@ -82,3 +82,20 @@ def attach(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int,
     seen = rows.join(F.broadcast(hot.select(key, "_qm_hot")), key, "left")
     rest = seen.filter(F.col("_qm_hot").isNull()).drop("_qm_hot").join(cold, key, "left")
     return rows.join(F.broadcast(hot.drop("_qm_hot")), key).select(rest.columns).unionByName(rest)
+
+
+def staying(docs: DataFrame, decided: DataFrame, id_col: str, digest: Column) -> DataFrame:
+    """The rows of ``docs`` that stay; ``decided`` (id, digest, kept) has a row per row, and rows without an id stay.
+
+    Ids none of whose rows stay are anti-joined alone: they are few and narrow, so Spark may broadcast them. The text's
+    digest only decides for ids that have rows of both kinds, as an id that occurs with several texts.
+    """
+    fates = decided.filter("id is not null").groupBy("id").agg(F.bool_and("kept").alias("all"), F.bool_or("kept").alias("some"))
+    fates = saved(fates.filter("not all").select(F.col("id").alias("_qm_gone"), "some"), "gone")
+    out = docs.join(fates.filter("not some").select("_qm_gone"), F.col(id_col) == F.col("_qm_gone"), "left_anti")
+    both = fates.filter("some").select("_qm_gone")
+    if both.isEmpty():
+        return out
+    pairs = decided.filter("not kept").join(both, F.col("id") == F.col("_qm_gone")).select("_qm_gone", F.col("digest").alias("_qm_digest"))
+    pairs = saved(pairs.distinct(), "gone-texts")
+    return out.join(pairs, (F.col(id_col) == F.col("_qm_gone")) & (digest == F.col("_qm_digest")), "left_anti")

@@ -18,7 +18,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, attach, saved
+from .common import SPACE, attach, saved, staying
 
 
 def normalised(text: Column) -> Column:
@@ -89,15 +89,10 @@ def fresh_index(spark: SparkSession) -> DigestIndex:
 
 
 def dedup_exact(docs: DataFrame, index: DigestIndex | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, all columns unchanged; rows without an id stay.
-
-    The (id, digest) that go are anti-joined: they are fewer than those that stay, so Spark may find them small enough to
-    broadcast. Another text of the same id is not concerned.
-    """
+    """The rows of ``docs`` that stay, all columns unchanged; rows without an id stay. Rows go by id and text."""
     out = resolve(docs, index or fresh_index(docs.sparkSession), id_col, text_col)
-    gone = out.filter(~F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_qm_gone"), F.unhex("text_sha256").alias("_qm_digest"))
-    gone = saved(gone.distinct(), "gone")
-    return docs.join(gone, (docs[id_col] == gone["_qm_gone"]) & (_digest(docs[text_col]) == gone["_qm_digest"]), "left_anti")
+    decided = out.select(F.col(id_col).alias("id"), F.unhex("text_sha256").alias("digest"), "kept")
+    return staying(docs, decided, id_col, _digest(F.col(text_col)))
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

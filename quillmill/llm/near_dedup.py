@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import attach, drop, saved
+from .common import attach, drop, saved, staying
 from .components import connected_components, smallest_ids
 from .shingles import distinct, mix, runs, shingle_hashes, shingle_sets
 
@@ -366,9 +366,8 @@ def dedup_near(docs: DataFrame, least_pct: int = 80, id_col: str = "doc_id", tex
     Rows go by id and text: another text of the same id is not concerned.
     """
     out = _near_rows(docs, least_pct, id_col, text_col)
-    gone = out.filter(~F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_qm_gone"), F.col("_qm_t").alias("_qm_digest"))
-    gone = saved(gone.distinct(), "near-gone")
-    return docs.join(gone, (docs[id_col] == gone["_qm_gone"]) & (_text_digest(docs[text_col]) == gone["_qm_digest"]), "left_anti")
+    decided = out.select(F.col(id_col).alias("id"), F.col("_qm_t").alias("digest"), "kept")
+    return staying(docs, decided, id_col, _text_digest(F.col(text_col)))
 
 
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
