@@ -349,8 +349,10 @@ def _near_rows(docs: DataFrame, least_pct: int, id_col: str, text_col: str) -> D
 
 def _sets_of(texts: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
     """(cls, elements): the full sets of the classes in the one column of ``wanted``; one row a class."""
-    wanted = saved(classes.join(wanted.toDF("cls").distinct(), "cls").select("cls", "own.id", "own.t"), "ids")
-    rows = texts.join(wanted, ["id", "t"]).select("cls", "text").mapInArrow(_sets, "cls long, elements binary")
+    wanted = saved(classes.join(wanted.toDF("cls").distinct(), "cls").select("cls", "own.id", "own.t"), "wanted")
+    # ids alone are narrow enough to broadcast: only the texts of wanted ids travel
+    ids = saved(wanted.select("id").distinct(), "ids")
+    rows = texts.join(ids, "id", "left_semi").join(wanted, ["id", "t"]).select("cls", "text").mapInArrow(_sets, "cls long, elements binary")
     return saved(rows.groupBy("cls").agg(F.first("elements").alias("elements")), "sets")
 
 
