@@ -17,9 +17,9 @@ QUERIES = {
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
-ORACLE_SQL = {
+#: The others are beyond SQL and are tested against libraries, brute force and plain versions.
+ORACLE_SQL: dict[str, str] = {
     "op7_license_scan": licenses.OP7_SQL,
     "op8_mix_sources": mixing.OP8_SQL,
-    "op9_quality_qda": quality.op9_quality_qda,
     "op10_exact_dedup": exact_dedup.OP10_SQL,
 }

@@ -497,3 +497,10 @@ def test_hot_groups_are_attached_whole(spark):
     groups = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
     out = attach(rows, groups, "k", "n", 5000, most_hot=10)
     assert out.count() == 5000 and out.filter("n is null").count() == 0 and out.agg(F.sum(F.when(F.col("k") == 0, 1))).first()[0] == groups.filter("k = 0").first().n
+
+
+def test_oracles_are_sql():
+    from quillmill.llm.queries import ORACLE_SQL, QUERIES
+
+    assert set(ORACLE_SQL) <= set(QUERIES) and len(QUERIES) == 10
+    assert all(isinstance(sql, str) and "SELECT" in sql for sql in ORACLE_SQL.values())
