@@ -6,12 +6,12 @@ from a heap: all occurrences of the pair are merged at once, and only the lists
 broke are changed (broken ones lazily, by checking a position before use). So the work follows the number of merges, not
 the number of ranks times the text.
 
-Words that recur are looked up: a worker keeps the tokens of words met so far, up to ``MOST_WORDS``, then starts anew.
-That is a bound on memory and changes no result.
+Words that recur are looked up: a worker keeps the tokens of at most ``MOST_WORDS`` words and those of one run. Beyond
+that, and at a task's end, only words that were met again stay. That bounds memory and changes no result.
 
 Texts become NFC, white space ends words, letters are lower-cased one by one, words are split by the vocabulary's
-pattern, and special tokens are recognised in the raw text, as the tokenizers library does. A decoded text is the tokens
-joined by spaces, since the vocabulary names no decoder.
+pattern, and special tokens are recognised in the raw text, as the tokenizers library does. A decoded text is the tokens'
+names joined by spaces, since the vocabulary names no decoder; names are copied out of one buffer by array arithmetic.
 
 Cases: a null text counts as empty and has no tokens; so do texts of white space. Texts of any length are encoded whole.
 Repeated rows and ids are encoded row by row. An empty table gives an empty result. Only the named columns are read.
@@ -32,7 +32,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Regex, normalizers, pre_tokenizers
 
-RUN_CHARS, MOST_WORDS = 4_000_000, 500_000
+from .memory import give_back
+
+#: Texts are encoded in runs of about so many characters (a longer text is a run of its own); words kept by a worker.
+RUN_CHARS, MOST_WORDS = 1_000_000, 250_000
 
 #: What ends a word: the characters with the Unicode property White_Space.
 _SPACES = regex.compile("[\t-\r \x85\xa0  -     　]+")
@@ -85,7 +88,10 @@ class Bpe:
         names = [""] * self.size
         for name, i in [*vocab.items(), *self.special.items()]:
             names[i] = name
-        self.names = [n.encode() for n in names]
+        spelled = [n.encode() + b" " for n in names]
+        self.spelling = np.frombuffer(b"".join(spelled), np.uint8)
+        self.name_size = np.array([len(n) for n in spelled], np.int64)
+        self.name_start = np.cumsum(self.name_size) - self.name_size
         bytes_ = byte_names()
         self.inner = np.array([vocab[c] for c in bytes_], np.int64)
         self.last = np.array([vocab[c + suffix] for c in bytes_], np.int64)
@@ -103,10 +109,21 @@ class Bpe:
         self.forget()
 
     def forget(self) -> None:
-        self.words: dict[str, int] = {}
-        self.texts: list[bytes] = []
+        self.words: dict[str, int] = {}  # in the order of their numbers
         self.ids, self.n_ids = np.zeros(1 << 16, np.int32), 0
-        self.start, self.count = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+        self.start, self.count = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int32)
+        self.again = np.zeros(1 << 12, bool)  # met again in a later run
+
+    def thin(self) -> None:
+        """Keeps the words that were met again, of them the last half of ``MOST_WORDS``."""
+        words, kept = list(self.words), np.flatnonzero(self.again[: len(self.words)])[-(MOST_WORDS // 2) :]
+        start, count, ids = self.start[kept], self.count[kept], self.ids
+        self.forget()
+        ends = np.cumsum(count, dtype=np.int64)
+        self.n_ids = int(ends[-1]) if len(ends) else 0
+        self.ids = ids[np.repeat(start - ends + count, count) + np.arange(self.n_ids)]
+        self.start, self.count, self.again = ends - count, count, np.zeros(len(kept), bool)
+        self.words = {words[i]: k for k, i in enumerate(kept.tolist())}
 
     def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The merge rank of each pair of symbols, -1 without one."""
@@ -196,43 +213,47 @@ class Bpe:
         tokens, ends = tokens.tolist(), np.cumsum(counts).tolist()
         starts = [0, *ends[:-1]]
         lists = [[x for p in part for x in (tokens[starts[p] : ends[p]] if p >= 0 else (-1 - p,))] for part in parts]
-        first, n = len(self.texts), len(self.texts) + len(words)
+        first, n = len(self.words), len(self.words) + len(words)
         flat = np.fromiter((x for t in lists for x in t), np.int32)
         if n > len(self.start):
-            self.start, self.count = (np.concatenate([x, np.zeros(n, np.int64)]) for x in (self.start, self.count))
+            self.start, self.count, self.again = (np.concatenate([x, np.zeros(n // 2 + n - first, x.dtype)]) for x in (self.start, self.count, self.again))
         if self.n_ids + len(flat) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros(self.n_ids + len(flat), np.int32)])
+            self.ids = np.concatenate([self.ids, np.zeros(len(self.ids) // 2 + len(flat), np.int32)])
         self.count[first:n] = [len(t) for t in lists]
         self.start[first:n] = self.n_ids + np.cumsum(self.count[first:n]) - self.count[first:n]
         self.ids[self.n_ids : self.n_ids + len(flat)] = flat
         self.n_ids += len(flat)
-        names = self.names
-        self.texts += [b" ".join([names[x] for x in t]) for t in lists]
         self.words.update(zip(words, range(first, n), strict=True))
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(tokens, tokens a text, word numbers, words a text); word numbers hold until the next call."""
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(tokens, tokens a text)."""
         split = [split_words(t) for t in texts]
         words = [w for t in split for w in t]
         n_words = np.array([len(t) for t in split], np.int64)
         if len(self.words) > MOST_WORDS:
-            self.forget()
+            self.thin()
         at = np.fromiter(map(self.words.get, words, repeat(-1)), np.int64, len(words))
+        self.again[at[at >= 0]] = True
         new = np.flatnonzero(at < 0)
         if len(new):
             unknown = list(dict.fromkeys(words[i] for i in new.tolist()))
             self.learn(unknown)
             at[new] = np.fromiter(map(self.words.__getitem__, (words[i] for i in new.tolist())), np.int64, len(new))
         count = self.count[at]
-        ends = np.cumsum(count)
+        ends = np.cumsum(count, dtype=np.int64)
         tokens = self.ids[np.repeat(self.start[at] - ends + count, count) + np.arange(int(ends[-1]) if len(ends) else 0)]
         total = np.concatenate([[0], ends])
         bounds = np.concatenate([[0], np.cumsum(n_words)])
-        return tokens, np.diff(total[bounds]), at, n_words
+        return tokens, np.diff(total[bounds])
 
-    def decode(self, ids) -> bytes:
-        """The text of token ids, special ones included."""
-        return b" ".join([self.names[i] for i in ids])
+    def decode(self, tokens: np.ndarray, counts: np.ndarray) -> list[memoryview]:
+        """The text of each of the lists of token ids, special ones included: ``counts`` ids a list, end to end."""
+        size = self.name_size[tokens]
+        ends = np.cumsum(size)
+        out = self.spelling[np.repeat(self.name_start[tokens] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
+        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])].tolist()
+        view = memoryview(out)
+        return [view[a : max(a, b - 1)] for a, b in zip(bounds, bounds[1:])]  # without the last space
 
 
 _LOADED: dict[str, Bpe] = {}
@@ -257,44 +278,49 @@ def text_runs(column: pa.Array):
         yield row, run
 
 
-def _encoded(path: str):
-    def encode(batches):
+def _task(path: str, work):
+    """``work(bpe, batches)`` as a task; at its end the worker keeps the vocabulary and the words that recur."""
+
+    def run(batches):
         bpe = load(path)
-        for batch in batches:
-            for row, texts in text_runs(batch.column(1)):
-                tokens, counts, _, _ = bpe.encode(texts)
-                ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(tokens.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(texts)), ids], names=["id", "ids"])
+        try:
+            yield from work(bpe, batches)
+        finally:
+            bpe.thin()
+            give_back()
 
-    return encode
+    return run
 
 
-def _decoded(path: str):
-    def decode(batches):
-        bpe = load(path)
-        for batch in batches:
-            texts = [bpe.decode(ids.values.to_numpy(zero_copy_only=False)) if ids.is_valid else b"" for ids in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary()).cast(pa.string())], names=["id", "text"])
+def _lists(tokens: np.ndarray, counts: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(tokens.astype(np.int32)))
 
-    return decode
 
+def _encoded(bpe: Bpe, batches):
+    for batch in batches:
+        for row, texts in text_runs(batch.column(1)):
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(texts)), _lists(*bpe.encode(texts))], names=["id", "ids"])
 
-def _digested(path: str, with_ids: bool = False):
-    def digest(batches):
-        bpe = load(path)
+
+def _decoded(bpe: Bpe, batches):
+    none = np.zeros(0, np.int64)
+    for batch in batches:
+        ids = [x.values.to_numpy(zero_copy_only=False) if x.is_valid else none for x in batch.column(1)]
+        texts = [bytes(bpe.decode(x, np.array([len(x)]))[0]) for x in ids]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary()).cast(pa.string())], names=["id", "text"])
+
+
+def _digested(with_ids: bool):
+    def digest(bpe: Bpe, batches):
         for batch in batches:
             for row, texts in text_runs(batch.column(1)):
-                tokens, counts, at, n_words = bpe.encode(texts)
+                tokens, counts = bpe.encode(texts)
                 raw, ends = tokens.astype("<u4"), np.cumsum(counts)
-                words, word_ends = bpe.texts, np.cumsum(n_words)
-                ids_sha, text_sha = [], []
-                for k in range(len(texts)):
-                    ids_sha.append(hashlib.sha256(raw[ends[k] - counts[k] : ends[k]]).hexdigest())
-                    own = at[word_ends[k] - n_words[k] : word_ends[k]].tolist()
-                    text_sha.append(hashlib.sha256(b" ".join([words[i] for i in own])).hexdigest())
+                ids_sha = [hashlib.sha256(raw[e - c : e]).hexdigest() for e, c in zip(ends.tolist(), counts.tolist(), strict=True)]
+                text_sha = [hashlib.sha256(t).hexdigest() for t in bpe.decode(tokens, counts)]
                 columns = {"id": batch.column(0).slice(row, len(texts)), "n_tokens": pa.array(counts), "ids_sha256": pa.array(ids_sha), "decoded_sha256": pa.array(text_sha)}
                 if with_ids:
-                    columns["ids"] = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(tokens.astype(np.int32)))
+                    columns["ids"] = _lists(tokens, counts)
                 yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     return digest
@@ -311,20 +337,20 @@ def _narrow(docs: DataFrame, id_col: str, col: str) -> tuple[DataFrame, str]:
 def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, ids array<int>) for every text."""
     narrow, kind = _narrow(docs, id_col, text_col)
-    return _renamed(narrow.mapInArrow(_encoded(path or default_path()), f"id {kind}, ids array<int>"), id_col)
+    return _renamed(narrow.mapInArrow(_task(path or default_path(), _encoded), f"id {kind}, ids array<int>"), id_col)
 
 
 def decode(encoded: DataFrame, path: str | None = None, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """(id_col, text) for every list of ids; null gives an empty text."""
     narrow, kind = _narrow(encoded, id_col, ids_col)
-    return _renamed(narrow.mapInArrow(_decoded(path or default_path()), f"id {kind}, text string"), id_col)
+    return _renamed(narrow.mapInArrow(_task(path or default_path(), _decoded), f"id {kind}, text string"), id_col)
 
 
 def digests(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """(id_col, n_tokens, ids_sha256, decoded_sha256 and, if asked for, ids): encodes and decodes every text in one pass."""
     narrow, kind = _narrow(docs, id_col, text_col)
     schema = f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    return _renamed(narrow.mapInArrow(_digested(path or default_path(), with_ids), schema), id_col)
+    return _renamed(narrow.mapInArrow(_task(path or default_path(), _digested(with_ids)), schema), id_col)
 
 
 def op2_bpe_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
