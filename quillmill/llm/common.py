@@ -16,35 +16,50 @@ _OWN_DIR: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or a temporary one where that is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    Where it is unset, a single-process session (master ``local``) gets a temporary folder; on a cluster executors would
+    each write to a disk of their own, so there it is an error.
+    """
     at = spark.conf.get("spark.checkpoint.dir", "") or ""
     if not at:
-        key = spark.sparkContext.applicationId
-        at = _OWN_DIR.setdefault(key, "file:" + tempfile.mkdtemp(prefix="quillmill-"))
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"spark.checkpoint.dir is not set: on {master} intermediate tables need a folder that driver and executors share")
+        at = _OWN_DIR.setdefault(spark.sparkContext.applicationId, "file:" + tempfile.mkdtemp(prefix="quillmill-"))
     return at.rstrip("/")
 
 
+def _located(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
 def scratch_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/quillmill-{tag}-{uuid.uuid4().hex}"
 
 
 def saved(df: DataFrame, tag: str) -> DataFrame:
-    """Writes ``df`` to the shared folder and reads it back: lineage ends here and survives lost executors."""
+    """Writes ``df`` to the shared folder and reads it back: lineage ends here and survives lost executors.
+
+    What is not dropped before is deleted when the driver's JVM ends.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, tag)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    for p in (path, *(own for own in _OWN_DIR.values() if path.startswith(own))):
+        fs, where = _located(spark, p)
+        fs.deleteOnExit(where)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._qm_path = path
+    return out
 
 
 def drop(*frames: DataFrame) -> None:
     """Deletes what ``saved`` wrote for these frames, once nothing reads them any more."""
     for df in frames:
-        spark = df.sparkSession
-        root = shared_dir(spark)
-        for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            path = spark._jvm.org.apache.hadoop.fs.Path(name)
-            if "/quillmill-" in name and name.split(":", 1)[-1].lstrip("/").startswith(root.split(":", 1)[-1].lstrip("/")):
-                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        fs, where = _located(df.sparkSession, df._qm_path)
+        fs.delete(where, True)
 
 
 def numbered(df: DataFrame, group: str, chunk: Column, order: list[Column], name: str, amount: Column | None = None) -> DataFrame:
@@ -52,7 +67,8 @@ def numbered(df: DataFrame, group: str, chunk: Column, order: list[Column], name
 
     Rows are ordered by ``chunk`` and then ``order``. No task sees a whole group: the running sum is kept inside
     (group, chunk), and the chunks' own totals, one row each, give the offsets. So a group with a third of all rows
-    is spread over as many tasks as it has chunks. Without ``amount`` the numbers are gapless.
+    is spread over as many tasks as it has chunks. Without ``amount`` the numbers are gapless. The chunks, one row each,
+    are summed up in one task a group, so their number must be bounded.
     """
     amount = F.lit(1).cast("long") if amount is None else amount
     rows = df.withColumn("_qm_chunk", chunk).withColumn("_qm_amount", amount)
@@ -65,11 +81,16 @@ def numbered(df: DataFrame, group: str, chunk: Column, order: list[Column], name
     )
     running = rows.withColumn("_qm_run", F.sum("_qm_amount").over(inner) - F.col("_qm_amount"))
     same = F.col(group).eqNullSafe(F.col("_qm_g")) & (F.col("_qm_chunk") == F.col("_qm_c"))
-    return running.join(offsets, same).withColumn(name, (F.col("_qm_before") + F.col("_qm_run")).cast("long")).drop(
+    return running.join(offsets, same).withColumn(name, F.col("_qm_before") + F.col("_qm_run")).drop(
         "_qm_chunk", "_qm_amount", "_qm_run", "_qm_g", "_qm_c", "_qm_total", "_qm_before"
     )
 
 
+def in_ranges(df: DataFrame, order: list[Column], tag: str) -> DataFrame:
+    """``df``, written in ranges of ``order``, with the number of each row's range in ``_qm_range``: a chunk for ``numbered``."""
+    return saved(df.repartitionByRange(*order).withColumn("_qm_range", F.spark_partition_id()), tag)
+
+
 def attach(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int, most_hot: int = 4096) -> DataFrame:
     """Left join of ``rows`` to ``groups`` (unique by ``key``; ``size``: rows of the key) that no hot key can unbalance.
 

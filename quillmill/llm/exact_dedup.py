@@ -2,8 +2,8 @@
 
 Method: every text is normalised (each run of ASCII white space becomes one space) and hashed with SHA-256. The index
 is a table with one row per distinct digest, ``CLUSTERED BY (digest) SORTED BY (digest)``. A batch is reduced to one
-row per digest before anything is joined, then sort-merge anti-joined with the index, and what remains is appended.
-Only digests travel; texts are read once.
+row per digest before anything is joined, then sort-merge anti-joined with the index, and what remains is appended, one
+file a bucket. Only digests travel; texts are read once. An index that a query makes for itself is dropped by it.
 
 Cases: a null text counts as empty, so all null and empty texts are one group. Texts of any length are hashed whole.
 Of equal texts the smallest id stays; rows that repeat that very id stay with it. A null id never wins against a
@@ -18,7 +18,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, attach, saved, staying
+from .common import SPACE, attach, drop, saved, staying
 
 
 def normalised(text: Column) -> Column:
@@ -33,8 +33,8 @@ class DigestIndex:
     """A catalogue table (digest binary, keep_id long), in ``buckets`` buckets sorted by digest.
 
     ``path`` makes it an external table there, so that another session can open it again; without it the table lies
-    in the warehouse. ``buckets`` defaults to the session's shuffle partitions, so that a batch grouped by digest is
-    already dealt as the index is and neither side of the anti-join is shuffled again.
+    in the warehouse. ``buckets`` defaults to the session's shuffle partitions. The index is never shuffled: the batch's
+    groups are dealt once more, by digest, to meet it bucket by bucket.
     """
 
     def __init__(self, spark: SparkSession, table: str, path: str | None = None, buckets: int | None = None):
@@ -53,8 +53,11 @@ class DigestIndex:
     def append(self, groups: DataFrame) -> None:
         """``groups`` (digest, keep_id), unique by digest: those whose digest is new are appended."""
         new = groups.select("digest", "keep_id").join(self.rows().select("digest").hint("merge"), "digest", "left_anti")
-        writer = saved(new, "index-batch").write.mode("append").format("parquet").bucketBy(self.buckets, "digest").sortBy("digest")
+        new = saved(new, "index-batch")
+        # dealt as the buckets are, so that a bucket is written by one task, as one file
+        writer = new.repartition(self.buckets, "digest").write.mode("append").format("parquet").bucketBy(self.buckets, "digest").sortBy("digest")
         (writer.option("path", self.path) if self.path else writer).saveAsTable(self.table)
+        drop(new)
 
     def drop(self) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
@@ -71,7 +74,8 @@ def resolve(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_co
     groups = rows.groupBy("digest").agg(F.min("_qm_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     groups = saved(groups, "digest-groups")
     index.append(groups)
-    known = groups.select("digest", "group_size").join(index.rows(), "digest")
+    known = saved(groups.select("digest", "group_size").join(index.rows().hint("merge"), "digest"), "digest-known")
+    drop(groups)
     return (
         attach(rows, known, "digest", "group_size", rows.count())
         .select(
@@ -88,15 +92,24 @@ def fresh_index(spark: SparkSession) -> DigestIndex:
     return DigestIndex(spark, f"quillmill_digests_{uuid.uuid4().hex}")
 
 
+def resolved_afresh(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``resolve`` against an index of its own, which does not outlive the call."""
+    index = fresh_index(docs.sparkSession)
+    try:
+        return resolve(docs, index, id_col, text_col)
+    finally:
+        index.drop()
+
+
 def dedup_exact(docs: DataFrame, index: DigestIndex | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, all columns unchanged; rows without an id stay. Rows go by id and text."""
-    out = resolve(docs, index or fresh_index(docs.sparkSession), id_col, text_col)
+    out = resolve(docs, index, id_col, text_col) if index else resolved_afresh(docs, id_col, text_col)
     decided = out.select(F.col(id_col).alias("id"), F.unhex("text_sha256").alias("digest"), "kept")
     return staying(docs, decided, id_col, _digest(F.col(text_col)))
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resolve(spark.read.parquet(f"{sf_dir}/documents.parquet"), fresh_index(spark))
+    return resolved_afresh(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 OP10_SQL = r"""
