@@ -3,9 +3,12 @@
 Method: the rolling word 2-grams of every whole text are hashed and joined, all of them, to the 2-grams of the templates
 and their positions. A hit votes for the diagonal ``position in the text - position in the template``. Votes are summed
 by diagonal. For a base phrase all of its 2-grams must stand on one diagonal: that is a place where the phrase's words
-are consecutive. For a licence text, diagonals at most ``SLIP`` words apart are merged, since words that were put in or
-left out shift the rest; a merged span is verified if at least ``COVERAGE`` of the template's 2-grams voted for it within
-``STRETCH`` times the template's length.
+are consecutive. For a licence text, a diagonal is merged with the neighbours that follow it within ``DRIFT`` times the
+template's length, since words that were put in shift the rest. Such a span of diagonals bounds its words as well: they
+lie within (1 + ``DRIFT``) times the template's length. It is verified if at least ``COVERAGE`` of the template's 2-grams
+voted in it. Every diagonal begins a span, so votes from other parts of a text never spoil one.
+
+Which 2-grams voted is kept as bits of a long, so merging spans is a sliding OR over diagonals.
 
 Labels are those of base phrases found and of licence texts verified. The score is 1 with a base phrase, else the best
 coverage of a licence text. The templates, some hundred 2-grams, are constants, so broadcasting them is bounded.
@@ -21,13 +24,19 @@ result each. An empty table gives an empty result. Only the named columns are re
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+from operator import add
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from .common import saved
 
-SLIP, COVERAGE, STRETCH = 3, 0.6, 1.5
+DRIFT, COVERAGE = 0.5, 0.6
+#: So many 2-grams of a template share a long.
+BITS = 62
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 #: The base phrases and their labels.
@@ -89,10 +98,16 @@ def template_rows(base=BASE, notices=NOTICES) -> list[tuple[int, str, bool, int,
     return rows
 
 
+def reach(grams: int) -> int:
+    """How far the diagonals of a template with so many 2-grams may drift."""
+    return math.floor((grams + 1) * DRIFT)
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base=BASE, notices=NOTICES) -> DataFrame:
     """id_col, n_words, n_base, first_word, last_word, base_labels, labels, score."""
     spark = docs.sparkSession
-    templates = spark.createDataFrame(template_rows(base, notices), "template int, label string, base boolean, grams int, place int, w1 string, w2 string")
+    rows_ = template_rows(base, notices)
+    templates = spark.createDataFrame(rows_, "template int, label string, base boolean, grams int, place int, w1 string, w2 string")
     templates = templates.select("template", "label", "base", "grams", "place", F.xxhash64("w1", "w2").alias("gram"))
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
@@ -106,19 +121,22 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base=B
     hits = rows.join(F.broadcast(templates), "gram", "left").filter("at = 0 or template is not null").drop("gram")
     hits = saved(hits, "license-hits")
 
-    votes = hits.filter("at > 0").withColumn("word", F.col("at") - 1).withColumn("diagonal", F.col("word") - F.col("place"))
-    found = votes.filter("base").groupBy("key", "template", "label", "grams", "diagonal").agg(F.count_distinct("place").alias("votes"))
-    found = found.filter("votes = grams").groupBy("key").agg(
+    votes = hits.filter("at > 0").withColumn("diagonal", F.col("at") - 1 - F.col("place"))
+    parts = [f"m{i}" for i in range(max(r[3] for r in rows_) // BITS + 1)]
+    bit = lambda i: F.expr(f"bit_or(if(place div {BITS} = {i}, shiftleft(1L, place % {BITS}), 0L))")
+    on = votes.groupBy("key", "template", "label", "base", "grams", "diagonal").agg(*[bit(i).alias(m) for i, m in enumerate(parts)])
+    count = lambda columns: reduce(add, [F.bit_count(c) for c in columns])
+    found = on.filter(F.col("base") & (count(map(F.col, parts)) == F.col("grams"))).groupBy("key").agg(
         F.count(F.lit(1)).alias("n_base"), F.min("diagonal").alias("first_word"), F.max("diagonal").alias("last_word"), F.collect_set("label").alias("base_set")
     )
+    # a template's reach is part of its rows, a window's frame is not: one sliding OR for each reach there is
     by_diagonal = W.partitionBy("key", "template").orderBy("diagonal")
-    spans = votes.filter("not base").select("key", "template", "label", "grams", "place", "word", "diagonal").distinct()
-    spans = spans.withColumn("new", F.when(F.col("diagonal") - F.lag("diagonal").over(by_diagonal) <= SLIP, 0).otherwise(1))
-    spans = spans.withColumn("span", F.sum("new").over(by_diagonal.rangeBetween(W.unboundedPreceding, W.currentRow)))
-    spans = spans.groupBy("key", "template", "label", "grams", "span").agg(
-        (F.count_distinct("place") / F.col("grams")).alias("coverage"), (F.max("word") - F.min("word") + 1).alias("length")
+    reaches = sorted({reach(r[3]) for r in rows_ if not r[2]})
+    merged = lambda r: count([F.bit_or(m).over(by_diagonal.rangeBetween(0, r)) for m in parts])
+    spans = on.filter("not base").withColumn("reach", F.floor((F.col("grams") + 1) * DRIFT)).withColumn(
+        "coverage", F.coalesce(*[F.when(F.col("reach") == r, merged(r)) for r in reaches]) / F.col("grams") if reaches else F.lit(0.0)
     )
-    good = (F.col("coverage") >= COVERAGE) & (F.col("length") <= STRETCH * (F.col("grams") + 1))
+    good = F.col("coverage") >= COVERAGE
     spans = spans.groupBy("key").agg(F.max("coverage").alias("coverage"), F.collect_set(F.when(good, F.col("label"))).alias("own_set"))
 
     none = F.array().cast("array<string>")
@@ -154,14 +172,14 @@ d AS (
   SELECT DISTINCT row, template, label, base, grams, place, word, word - place AS diagonal FROM g JOIN t USING (gram)
 ), b AS (
   SELECT row, label, diagonal FROM v WHERE base GROUP BY row, template, label, grams, diagonal HAVING count(DISTINCT place) = grams
-), n AS (
-  SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY row, template ORDER BY diagonal) <= {SLIP} THEN 0 ELSE 1 END AS new FROM v WHERE NOT base
-), s AS (
-  SELECT *, sum(new) OVER (PARTITION BY row, template ORDER BY diagonal RANGE UNBOUNDED PRECEDING) AS span FROM n
+), a AS (
+  SELECT DISTINCT row, template, label, grams, diagonal FROM v WHERE NOT base
 ), c AS (
-  SELECT row, label, count(DISTINCT place)::DOUBLE / grams AS coverage, max(word) - min(word) + 1 AS length, grams FROM s GROUP BY row, template, label, grams, span
+  SELECT a.row, a.label, count(DISTINCT v.place)::DOUBLE / a.grams AS coverage
+  FROM a JOIN v ON v.row = a.row AND v.template = a.template AND v.diagonal BETWEEN a.diagonal AND a.diagonal + floor((a.grams + 1) * {DRIFT})
+  GROUP BY a.row, a.template, a.label, a.grams, a.diagonal
 ), l AS (
-  SELECT row, label FROM b UNION SELECT row, label FROM c WHERE coverage >= {COVERAGE} AND length <= {STRETCH} * (grams + 1)
+  SELECT row, label FROM b UNION SELECT row, label FROM c WHERE coverage >= {COVERAGE}
 )
 SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(x.n, 0)::BIGINT AS n_base, x.lo::BIGINT AS first_word, x.hi::BIGINT AS last_word,
   coalesce(x.labels, '') AS base_labels, coalesce(y.labels, '') AS labels, CASE WHEN x.n > 0 THEN 1.0 ELSE coalesce(z.coverage, 0.0) END::DOUBLE AS score
