@@ -5,17 +5,23 @@ every node gets a composite text density, its characters per tag adjusted for li
 
     CTD = C / T * log_B(C / LC * T / LT),   B = ln(C / (C - LC) * LC + LCb / Cb * C + e^2)
 
-with C characters, T tags, LC and LT those inside links, b for the body, and 1 for what would be 0 below a fraction bar.
-(e^2 stands where the paper has e, so that the logarithm's base does not fall to 1 on pages without links.) A node's
-density sum adds up its children's densities. The node with the largest sum, and every node at least as dense as the
-least dense one on the path from it to the body, give the subtrees with the content: of each the part with the largest
-sum. If the node with the largest sum lies within an ``article``, or else a ``main``, all of that is added to them: density
-says which, the element says how far it goes.
-
-Inline elements (b, span, br ...) are part of their parent's text, not nodes. Menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles and reader comments are left out by element, role, class or id, where such a
-word is the whole or the last part of the name. A name that merely begins with one (``menu-open``) counts only if its
-element holds no more than half of the page's text. A header within an article belongs to it.
+with C characters, T tags, LC and LT those inside links, b for the whole page, and 1 for what would be 0 below a fraction
+bar. (e^2 stands where the paper has e, so that the logarithm's base does not fall to 1 on pages without links.) A node's
+density sum adds up the densities of its children and of its own text. The node with the largest sum is the content; if
+one box within it carries nearly all of its sum, that box is. Other subtrees come with it if they are as dense as the
+least dense node on its path to the body and as dense as half of its text, and their sum is a fair share of its own.
+Boxes at its edges that are much less dense, or links in the main, go: footers, side boxes, lists of links.
+
+What the tree says about meaning helps density where there is any. A single ``article`` (or ``main``) with a heading or
+some of the largest sum is the content; of several, the one that holds the node with the largest sum, and others as
+dense. An ``article`` within an ``article`` is a comment on it. If the largest sum lies beside the page's ``h1``, the
+text under the ``h1`` is the content, if it has some of that sum; so is what comes before a list of like records, each
+led by a short line, as reader comments are. An ``h1`` right before the content belongs to it.
+
+Inline elements (b, span, br ...) are part of their parent's text, not nodes. Menus, headers, footers, asides, forms,
+scripts, styles and hidden elements are left out by element and role. Classes and ids name boilerplate too: the words of
+``NAMED`` at the end of a name leave an element out, unless what is left has hardly any density; other words leave out
+only what is also much less dense than the content's text. A header within an article belongs to it.
 
 Blocks are what lies between the tags of block elements: character references are decoded, white space (by Unicode)
 becomes one space, blocks are joined by a line feed in page order. Nothing is cut or capped.
@@ -47,13 +53,21 @@ LEFT_OUT = frozenset(
     "head script style textarea title noscript xmp iframe noembed noframes template svg math nav footer aside form button select input menu dialog object canvas audio video".split()
 )
 LEFT_OUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-#: Words that name boilerplate in classes and ids.
-LEFT_OUT_WORDS = frozenset(
-    """ad ads advert adverts advertisement advertising alert banner breadcrumb breadcrumbs comment comments consent cookie
-    cookies copyright disqus footer header login masthead menu modal nav navbar navigation newsletter notice notices
-    pagination popup promo related respond search share sharing sidebar signup social sponsor sponsored subscribe teaser
-    toolbar widget""".split()
+#: Words that name boilerplate at the end of a class or id, whatever its density.
+NAMED = frozenset(
+    """ad ads advert adverts advertisement advertising breadcrumb breadcrumbs comment comments consent cookie cookies disqus
+    footer login masthead menu modal nav navbar navigation newsletter pagination popup promo related respond sidebar signup
+    sponsor sponsored subscribe toolbar""".split()
 )
+#: Words that do if the element is also much less dense than the content.
+DOUBTFUL = frozenset("alert banner copyright header notice notices search share sharing social teaser widget".split())
+#: Elements that lay out others; elements of lists; how a footer's notice begins or ends.
+BOXES = frozenset("div section center table tbody thead tfoot tr td th main article".split())
+LISTS = frozenset("ul ol dl menu".split())
+NOTICE = re.compile(r"\W*(?:©|\(c\)|copyright\b)|.*\ball rights reserved\W*$", re.IGNORECASE | re.DOTALL)
+#: Shares of a density sum: nearly all, a fair share, some of it; and how dense, beside text, what is much less dense is.
+NEARLY_ALL, FAIR, SOME, MUCH_LESS = 0.75, 0.25, 0.1, 0.25
+
 #: Start tags that end an open element of the given kind, and where the search for it stops.
 ENDED_BY = {
     "p": frozenset(
@@ -85,27 +99,105 @@ _WORDS = re.compile(r"[a-z0-9]+")
 TURNED = frozenset("has no non with without".split())
 
 
+OUT, BY_NAME, IN_DOUBT = 3, 2, 1
+
+
 def _hint(attributes: str, in_article: bool = False) -> int:
-    """2: boilerplate by role, class or id; 1: perhaps; 0: no sign of it. A header in an article is part of it."""
+    """OUT by role or ``hidden``; BY_NAME or IN_DOUBT by class or id; 0: no sign of boilerplate."""
     found = 0
     if re.search(r"(?:^|\s)hidden(?:\s|=|$)", attributes):
-        return 2
+        return OUT
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values).lower()
         if name == "role" and value.strip() in LEFT_OUT_ROLES:
-            return 2
+            return OUT
         if name in ("class", "id"):
             for token in value.split():
                 parts = _WORDS.findall(token)
-                if not parts or (in_article and parts[-1] == "header"):
+                if not parts or (in_article and parts[-1] == "header") or (len(parts) > 1 and parts[-2] in TURNED):
                     continue
-                if parts[-1] in LEFT_OUT_WORDS and (len(parts) == 1 or parts[-2] not in TURNED):
-                    return 2
-                if parts[0] in LEFT_OUT_WORDS:
-                    found = 1
+                if parts[-1] in NAMED or (parts[-1] in DOUBTFUL and not NAMED.isdisjoint(parts)):
+                    found = BY_NAME
+                elif parts[-1] in DOUBTFUL or parts[0] in NAMED or parts[0] in DOUBTFUL:
+                    found = max(found, IN_DOUBT)
     return found
 
 
+def ctd(c: int, t: int, lc: int, lt: int, share: float) -> float:
+    """The composite text density of c characters in t tags, lc and lt of them links; ``share``: the page's link characters."""
+    if not c:
+        return 0.0
+    t = max(t, 1)
+    base = math.log(c / max(c - lc, 1) * lc + share * c + math.e**2)
+    return c / t * max(0.0, math.log(c / max(lc, 1) * t / max(lt, 1))) / math.log(base)
+
+
+class _Densities:
+    """Characters, densities and sums of a page's nodes without those that are ``out``."""
+
+    def __init__(self, page: _Page, out: list[bool]):
+        n, parent = len(page.tag), page.parent
+        chars, links, link_tags = ([0 if o else x for o, x in zip(out, v, strict=True)] for v in (page.chars, page.link_chars, page.link_tags))
+        own = list(zip(chars, links, link_tags, strict=True))
+        share = sum(page.link_chars) / max(sum(page.chars), 1)  # the whole page's, menus included
+        tags = [0] * n
+        for k in range(n - 1, 0, -1):
+            if not out[k]:
+                p = parent[k]
+                chars[p] += chars[k]
+                links[p] += links[k]
+                link_tags[p] += link_tags[k]
+                tags[p] += tags[k] + 1
+        self.page, self.out, self.chars, self.links = page, out, chars, links
+        self.own = [x[0] for x in own]
+        self.density = [ctd(chars[k], tags[k] + link_tags[k], links[k], link_tags[k], share) for k in range(n)]
+        self.total = [ctd(c, lt, lc, lt, share) for c, lc, lt in own]
+        # of a subtree's text, the mean density of a block, by its characters
+        self.block = [t * c for t, (c, _, _) in zip(self.total, own, strict=True)]
+        self.end = list(range(1, n + 1))
+        for k in range(n - 1, 0, -1):
+            self.total[parent[k]] += self.density[k]
+            self.block[parent[k]] += self.block[k]
+            self.end[parent[k]] = max(self.end[parent[k]], self.end[k])
+        self.block = [b / max(c, 1) for b, c in zip(self.block, chars, strict=True)]
+        self.top = list(range(n))  # of a subtree, the node with the largest sum, the outermost of equal ones
+        for k in range(n - 1, 0, -1):
+            p = parent[k]
+            if not out[k] and self.total[self.top[k]] >= self.total[self.top[p]] and (self.total[self.top[k]] > self.total[self.top[p]] or self.top[p] != p):
+                self.top[p] = self.top[k]
+        self.children: list[list[int]] = [[] for _ in range(n)]
+        for k in range(1, n):
+            if chars[k] and not out[k]:
+                self.children[parent[k]].append(k)
+
+    def holds(self, a: int, k: int) -> bool:
+        return a <= k < self.end[a]
+
+    def sum(self, k: int) -> float:
+        return self.total[self.top[k]]
+
+    def narrowed(self, k: int) -> int:
+        """``k``, or the box within it that carries nearly all of its sum."""
+        while True:
+            inner = next((c for c in self.children[k] if self.page.tag[c] in BOXES and self.sum(c) >= NEARLY_ALL * self.total[k] > 0), None)
+            if inner is None:
+                return k
+            k = self.top[inner]
+
+    def records(self, k: int) -> bool:
+        """Whether the children are three or more boxes of one shape, each with a short line and something else."""
+        kids, tag = self.children[k], self.page.tag
+        if len(kids) < 3 or len({tag[c] for c in kids}) > 1 or not (tag[kids[0]] in BOXES or tag[kids[0]] == "li"):
+            return False
+        shapes = {(self.own[c] > 0, tuple(tag[g] for g in self.children[c])) for c in kids}
+        if len(shapes) > 1:
+            return False
+        led, parts = shapes.pop()
+        if led + len(parts) < 2 or (not led and parts[0][0] == "h"):
+            return False
+        return all((self.own[c] if led else self.chars[self.children[c][0]]) <= 60 for c in kids)
+
+
 class _Page:
     """The tree of one page: per node its tag, parent, sign of boilerplate, characters, tags, link characters and link tags."""
 
@@ -172,8 +264,8 @@ class _Page:
                 elif name == "a":
                     links = 1
                     self.link_tags[stack[-1]] += 1
-                if name not in VOID and attributes and _hint(attributes) == 2 and not attributes.endswith("/"):
-                    stack.append(self._node(name, stack[-1], 2))
+                if name not in VOID and attributes and (sign := _hint(attributes)) >= BY_NAME and not attributes.endswith("/"):
+                    stack.append(self._node(name, stack[-1], sign))
                     open_[name] += 1
                     hidden_inline += 1
                 continue
@@ -191,10 +283,12 @@ class _Page:
                 continue
             if name == "body":
                 close(2 if len(stack) > 1 and self.tag[stack[1]] == "html" else 1)
-            sign = 2 if name in LEFT_OUT else 0
+            sign = OUT if name in LEFT_OUT else 0
             if name == "header" or (attributes and not sign and name not in ("html", "body", "main")):
                 in_article = open_["article"] + open_["main"] > 0
-                sign = 2 if name == "header" and not in_article else _hint(attributes, in_article)
+                sign = OUT if name == "header" and not in_article else _hint(attributes, in_article)
+                if name == "article" and sign < OUT:  # what is an article is no share button, but it may be a comment or an advert
+                    sign = sign if sign == BY_NAME else 0
             node = self._node(name, stack[-1], sign)
             if name == "body" and not self.body:
                 self.body = node
@@ -212,61 +306,114 @@ class _Page:
         if links:
             self.link_chars[node] += n
 
+    def _below(self, marked) -> list[bool]:
+        """For each node whether it, or what it lies in, is marked."""
+        out = [False] * len(self.tag)
+        for k in range(1, len(out)):
+            out[k] = out[self.parent[k]] or marked(k)
+        return out
+
+    def _path(self, k: int) -> list[int]:
+        """``k`` and what it lies in, up to the body."""
+        path = [k]
+        while k > self.body:
+            k = self.parent[k]
+            path.append(k)
+        return path
+
+    def _content(self, d: _Densities) -> tuple[int, bool, int]:
+        """(the node with the content, whether an element says so, the node with the largest sum)."""
+        tag, body = self.tag, self.body
+        best = d.top[body]
+        for kind in ("article", "main"):
+            outer = [k for k in range(1, len(tag)) if tag[k] == kind and d.chars[k] and not d.out[k] and not any(tag[p] == kind for p in self._path(k)[1:])]
+            holder = next((k for k in outer if d.holds(k, best)), None)
+            if len(outer) == 1:
+                k = outer[0]
+                if any(tag[h] in ("h1", "h2") and d.chars[h] for h in range(k, d.end[k])) or d.sum(k) >= SOME * d.total[best]:
+                    return k, True, best
+            elif holder is not None:
+                return holder, True, best
+        best = d.narrowed(best)
+        if d.records(best):
+            before = [k for k in range(body, best) if d.end[k] <= best and not d.out[k] and not d.records(k)]
+            other = max(before, key=lambda k: d.total[k], default=None)
+            if other is not None and d.total[other] >= SOME * d.total[best]:
+                return d.narrowed(other), False, best
+        title = next((k for k in range(body, len(tag)) if tag[k] == "h1" and d.chars[k] and not d.out[k]), None)
+        if title is not None and not d.holds(best, title):
+            for k in self._path(title)[:-1]:
+                p = self.parent[k]
+                after = [c for c in d.children[p] if c > k]
+                if d.holds(p, best):
+                    return next((d.narrowed(d.top[c]) for c in after if d.sum(c) >= SOME * d.total[best]), best), False, best
+                if sum(d.density[c] for c in after) >= SOME * d.total[best]:
+                    return p, False, best
+        return best, False, best
+
+    def _edges(self, d: _Densities, chosen: int, by_element: bool) -> set[int]:
+        """Children at either edge that are no content: links in the main and, in plain boxes, what is much less dense."""
+        texts = {}
+        if not by_element:
+            for node, _, raw in self.text:
+                texts.setdefault(node, []).append(raw)
+
+        def loose(c: int, last: bool) -> bool:
+            if self.tag[c] in BOXES or self.tag[c] in LISTS:
+                if 2 * d.links[c] >= d.chars[c]:
+                    return True
+            if by_element:
+                return False
+            if self.tag[c] in BOXES and d.block[c] < d.block[chosen] / 2:
+                return True
+            notice = last and NOTICE.match(" ".join(unescape("".join(x)) for k in range(c, d.end[c]) for x in [texts.get(k, ())]).strip())
+            return bool(notice) or (last and self.tag[c] in ("h1", "h2", "h3", "h4", "h5", "h6"))
+
+        kids, out = list(d.children[chosen]), set()
+        while len(kids) > 1 and loose(kids[-1], True):
+            out.add(kids.pop())
+        while len(kids) > 1 and loose(kids[0], False):
+            out.add(kids.pop(0))
+        return out
+
     def content(self) -> str:
-        n, parent, body = len(self.tag), self.parent, self.body
-        everything = list(self.chars)
-        for k in range(n - 1, 0, -1):
-            everything[parent[k]] += everything[k]
-        half = everything[body] / 2
-        # the share of link text is the whole page's, menus included
-        all_chars, all_links = everything[body], sum(self.link_chars)
-        out = [False] * n
-        for k in range(1, n):
-            out[k] = out[parent[k]] or self.sign[k] == 2 or (self.sign[k] == 1 and everything[k] <= half)
-        chars, links, link_tags = ([0 if out[k] else v[k] for k in range(n)] for v in (self.chars, self.link_chars, self.link_tags))
-        tags = [0] * n
-        for k in range(n - 1, 0, -1):
-            if not out[k]:
-                p = parent[k]
-                chars[p] += chars[k]
-                links[p] += links[k]
-                link_tags[p] += link_tags[k]
-                tags[p] += tags[k] + 1
-        share = all_links / max(all_chars, 1)
-        density, total, best = [0.0] * n, [0.0] * n, list(range(n))
-        for k in range(n):
-            if not out[k] and chars[k]:
-                c, t, lc, lt = chars[k], max(tags[k] + link_tags[k], 1), links[k], link_tags[k]
-                base = math.log(c / max(c - lc, 1) * lc + share * c + math.e**2)
-                density[k] = c / t * max(0.0, math.log(c / max(lc, 1) * (t / max(lt, 1)))) / math.log(base)
-        for k in range(n - 1, 0, -1):
-            total[parent[k]] += density[k]
-            # of a subtree, the node with the largest sum; without children's densities the node itself
-            if total[best[k]] > total[best[parent[k]]] or (total[best[k]] == total[best[parent[k]]] > 0 and best[parent[k]] != parent[k]):
-                best[parent[k]] = best[k]
-        if not chars[body]:
+        n, parent, body, tag = len(self.tag), self.parent, self.body, self.tag
+        d = _Densities(self, self._below(lambda k: self.sign[k] >= BY_NAME))
+        if any(s == BY_NAME for s in self.sign):
+            bare = _Densities(self, self._below(lambda k: self.sign[k] == OUT))
+            if d.sum(body) < SOME * bare.sum(body) and not any(tag[k] == "article" and d.chars[k] for k in range(n)):
+                d = bare  # the names cannot be right
+        if not d.chars[body]:
             return ""
-        chosen = best[body]
-        path, k = [], chosen
-        while k > 0:
-            path.append(k)
-            if k == body:
-                break
-            k = parent[k]
-        article = [k for k in path if self.tag[k] == "article"] or [k for k in path if self.tag[k] == "main"]
+        chosen, by_element, best = self._content(d)
+        path = self._path(chosen)
+        gone = self._edges(d, chosen, by_element)
         taken = [False] * n
-        if article:
-            taken[article[-1]] = True
-        least = min((density[k] for k in path), default=0.0)
+        taken[chosen] = True
+        title = next((k for k in range(chosen - 1, body, -1) if tag[k] == "h1" and d.chars[k] and not d.out[k]), None)
+        if title is not None and parent[title] in path and not any(tag[k] == "h1" for k in range(chosen, d.end[chosen])):
+            taken[title] = True
+        # others that are as dense: articles beside an article; beside a plain box anything, unless the box has the h1
+        alone = by_element or any(tag[k] == "h1" for k in range(chosen, d.end[chosen]))
+        least = min(d.density[k] for k in path)
         for k in range(body, n):
-            if chars[k] and not out[k] and density[k] >= least:
-                taken[best[k]] = True
+            if d.out[k] or not d.chars[k] or d.holds(k, chosen) or d.holds(chosen, k) or (best != chosen and d.holds(best, k)):
+                continue
+            if (not alone or tag[k] == "article") and d.density[k] >= least and d.block[k] >= d.block[chosen] / 2:
+                if d.sum(k) >= FAIR * d.sum(chosen) and not d.records(k):
+                    taken[k if tag[k] == "article" else d.top[k]] = True
+        inner = {k for k in range(1, n) if tag[k] == "article" and any(tag[p] == "article" for p in self._path(k)[1:])}
+        for k in [k for k in range(1, n) if tag[k] == "article" and k not in inner]:
+            nested = [c for c in inner if d.holds(k, c) and parent[c] not in inner]
+            if d.chars[k] > sum(d.chars[c] for c in nested):  # comments on it; else it only holds them together
+                gone.update(nested)
+        doubtful = (k for k in range(1, n) if self.sign[k] == IN_DOUBT and k not in path and d.block[k] < MUCH_LESS * d.block[chosen])
+        gone.update(doubtful)
         for k in range(1, n):
-            taken[k] = (taken[k] or taken[parent[k]]) and not out[k]
-        taken[0] = taken[0] or body == 0 and best[0] == 0
+            taken[k] = (taken[k] or taken[parent[k]]) and not d.out[k] and k not in gone
         blocks, now, parts = [], -1, []
         for node, block, raw in self.text:
-            if taken[node] and not out[node]:
+            if taken[node] and not d.out[node]:
                 if block != now:
                     blocks.append(parts)
                     now, parts = block, []
