@@ -1,19 +1,23 @@
 """Near-duplicate embeddings by a dual traversal of cover trees: all pairs at or above a cosine, none below it.
 
-Method: unit vectors at cosine c are sqrt(2 - 2c) apart, so the threshold is a distance. Vectors are laid out by their
-nearest of at most ``MAX_PIVOTS`` pivots and cut into blocks of equal size. Over each block a cover tree is built whose
-nested levels halve the radius (1, 1/2, 1/4, ...): every node's centre covers its points within the level's radius, and
-centres of one node are further apart than that. Every pair of blocks that covering radii do not rule out is traversed
-by one task, level by level: a pair of nodes is dropped if its centres are further apart than both covering radii and
-the threshold together, taken whole if even the furthest points must link, and else opened; points are compared in
-double precision. Bounds have a slack of 1e-9, so no rounding drops or adds a pair.
+Method: unit vectors at cosine c are sqrt(2 - 2c) apart, so the threshold is a distance. The top of the tree is shared: a
+sample gives at most ``MAX_PIVOTS`` centres, every vector goes under the nearest, and each centre's covering radius is
+measured. Vectors are laid out centre by centre, neighbouring centres next to each other, and cut into blocks of equal
+size. Over each block a cover tree is built: below a root that covers the whole block, nested levels halve the radius
+(1, 1/2, 1/4, ...), every node's centre covers its points within the level's radius, and centres of one node are further
+apart than that. Two blocks meet if two of their centres are no further apart than both covering radii and the threshold
+together; the others are pruned before any vector travels. Each pair of blocks that is left is traversed by one task,
+root against root and then level by level: a pair of nodes is dropped if its centres are further apart than both
+covering radii and the threshold together, taken whole if even the furthest points must link, and else opened; points
+are compared in double precision. Bounds have a slack of 1e-9, so no rounding drops or adds a pair.
 
 A task returns, for each vector, how many it links with, and a spanning forest of its links; linked groups are never
 listed pair by pair. Equal vectors become one class with a count before the tree is built.
 
 Cost: where vectors have no near neighbours, as random ones in 64 dimensions, centres are too far apart to be grouped
 but not far enough for bounds between blocks to hold, so the first level compares all centres of two blocks, by matrix
-products, and the work grows with the square of the number of classes. That is the method's limit, see the README.
+products, and the work grows with the square of the number of classes. That is the method's limit, see the README. What
+one task holds is two blocks, whatever the number of vectors.
 
 Cases: a vector that is null, zero, or holds a null or a non-finite component links with nothing and is its own
 component. So do vectors whose length differs from another's: only equal lengths are compared. Repeated ids are counted
@@ -32,8 +36,10 @@ from .common import attach, drop, numbered, saved
 from .components import connected_components, smallest_ids
 
 BLOCK, LEVELS, LEAF, SLACK = 8192, 7, 8, 1e-9
-#: Bound of the sample that pivots are taken from, of the pivots, and of the blocks: beyond it blocks get larger.
-PIVOT_SAMPLE, MAX_PIVOTS, MAX_BLOCKS = 4096, 256, 2048
+#: A block's vectors take no more than so many bytes.
+BLOCK_BYTES = 32 << 20
+#: Bound of the sample that pivots, the centres of the tree's top, are taken from, and of the pivots.
+PIVOT_SAMPLE, MAX_PIVOTS = 4096, 256
 
 
 def _net(x: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
@@ -150,6 +156,12 @@ class _Links:
             self.join(a, int(q[0]))
 
 
+def _root(x: np.ndarray) -> tuple[np.ndarray, float]:
+    """The root of a block's tree: a centre and the radius that covers all points."""
+    centre = x.mean(axis=0)
+    return centre, float(np.sqrt(np.maximum(0.0, ((x - centre) ** 2).sum(axis=1)).max()))
+
+
 def traverse(x: np.ndarray, copies: np.ndarray, path: np.ndarray, split: int, cosine: float) -> _Links:
     """Links between the points before ``split`` and those from it on; split = number of points: among all of them."""
     links, tau = _Links(copies), float(np.sqrt(2 - 2 * cosine))
@@ -158,6 +170,9 @@ def traverse(x: np.ndarray, copies: np.ndarray, path: np.ndarray, split: int, co
     trees = [[_Level(x[s], path[s, level] - s.start) for level in range(path.shape[1])] for s in sides]
     xa, xb, off = x[sides[0]], x[sides[-1]], sides[-1].start
     first, second = trees[0], trees[-1]
+    (ca, ra), (cb, rb) = (_root(x[s]) for s in (sides[0], sides[-1]))
+    if not one and np.linalg.norm(ca - cb) > ra + rb + tau + SLACK:
+        return links
 
     def sift(level: int, i: np.ndarray, j: np.ndarray, d: np.ndarray):
         """Of node pairs with centres d apart: those to open."""
@@ -185,7 +200,7 @@ def traverse(x: np.ndarray, copies: np.ndarray, path: np.ndarray, split: int, co
             good = np.einsum("ij,ij->i", xa[u], xb[v]) >= cosine
             links.pairs(u[good], v[good] + off)
 
-    # the first level: all centres against all, by rows. Nodes of one point have no radius, so for two of them the bound is
+    # the roots are opened: their children, all centres against all, by rows. Nodes of one point have no radius, so for two of them the bound is
     # the threshold itself: products in single precision, with a slack far above their error, choose what to compare
     a, b, found = first[0], second[0], []
     lone_a, lone_b = np.flatnonzero(a.count == 1), np.flatnonzero(b.count == 1)
@@ -251,31 +266,34 @@ def _unit(raw) -> np.ndarray:
 
 
 def _pivots(classes: DataFrame) -> np.ndarray:
-    """At most ``MAX_PIVOTS`` vectors, further than 1 apart where there are such, of a sample of ``PIVOT_SAMPLE`` rows."""
+    """At most ``MAX_PIVOTS`` vectors, further than 1 apart where there are such, of a sample of ``PIVOT_SAMPLE`` rows, each
+    followed by the nearest one left."""
     sample = [bytes(r.v) for r in classes.orderBy(F.xxhash64("v"), "v").select("v").limit(PIVOT_SAMPLE).collect()]
     x = _unit(sample)
-    return x[_net(x, 1.0)[0][:MAX_PIVOTS]]
+    x = x[_net(x, 1.0)[0][:MAX_PIVOTS]]
+    order, cosine = [0], x @ x.T
+    while len(order) < len(x):
+        nearest = cosine[order[-1]].copy()
+        nearest[order] = -2
+        order.append(int(nearest.argmax()))
+    return x[order]
 
 
 def _nearest(pivots: np.ndarray):
     def near(batches):
         for pdf in batches:
             if len(pdf):
-                pdf["pivot"] = (_unit(pdf["v"]) @ pivots.T).argmax(axis=1)
+                cosine = _unit(pdf["v"]) @ pivots.T
+                pdf["pivot"] = cosine.argmax(axis=1)
+                pdf["far"] = np.sqrt(np.maximum(0.0, 2 - 2 * cosine.max(axis=1)))
                 yield pdf
 
     return near
 
 
 def _planted(pdf: pd.DataFrame) -> pd.DataFrame:
-    x = _unit(pdf["v"])
-    centre = x.mean(axis=0)
-    norm = np.linalg.norm(centre)
-    centre = centre / norm if norm > 1e-6 else x[0]
-    far = float(np.sqrt(np.maximum(0.0, 2 - 2 * (x @ centre))).max())
-    pdf["path"] = [p.tobytes() for p in build(x)]
-    pdf["centre"], pdf["far"] = centre.tobytes(), far
-    return pdf[["block", "cls", "copies", "v", "path", "centre", "far"]]
+    pdf["path"] = [p.tobytes() for p in build(_unit(pdf["v"]))]
+    return pdf[["block", "cls", "copies", "v", "path"]]
 
 
 def _paired(cosine: float):
@@ -345,38 +363,45 @@ def _packed(v: str):
 
 def _block_links(classes: DataFrame, cosine: float, block: int) -> DataFrame:
     classes = saved(classes, "packed")
-    block = max(block, -(-classes.count() // MAX_BLOCKS))
     pivots = _pivots(classes)
-    placed = classes.mapInPandas(_nearest(pivots), "cls long, copies long, v binary, pivot long").withColumn("everything", F.lit(0))
+    block = max(1, min(block, BLOCK_BYTES // (8 * pivots.shape[1])))
+    placed = classes.mapInPandas(_nearest(pivots), "cls long, copies long, v binary, pivot long, far double").withColumn("everything", F.lit(0))
+    placed = saved(placed, "pivots")
     # gapless numbers in the order of pivots, so that blocks are of equal size however many vectors a pivot has
     chunk = F.col("pivot") * 64 + F.pmod(F.xxhash64("cls"), F.lit(64))
-    ranked = numbered(saved(placed, "pivots"), "everything", chunk, [F.col("cls")], "rank")
-    ranked = ranked.select("cls", "copies", "v", F.expr(f"rank div {block}").alias("block"))
+    ranked = numbered(placed, "everything", chunk, [F.col("cls")], "rank").withColumn("block", F.expr(f"rank div {block}"))
+    ranked = saved(ranked.select("cls", "copies", "v", "pivot", "far", "block"), "blocks")
     planted = ranked.groupBy("block").applyInPandas(
-        lambda pdf: _planted(pdf.sort_values("cls", kind="stable")), "block long, cls long, copies long, v binary, path binary, centre binary, far double"
+        lambda pdf: _planted(pdf.sort_values("cls", kind="stable")), "block long, cls long, copies long, v binary, path binary"
     )
     planted = saved(planted, "trees")
-    blocks = planted.groupBy("block").agg(F.first("centre").alias("centre"), F.first("far").alias("far"))
-    near = saved(_block_pairs(blocks, cosine), "block-pairs")
-    rows = planted.drop("centre", "far")
-    both = rows.join(near, rows["block"] == near["a"]).unionByName(rows.join(near.filter("a != b"), rows["block"] == near["b"]))
+    nodes = saved(ranked.groupBy("block", "pivot").agg(F.max("far").alias("far")), "nodes")
+    near = saved(block_pairs(nodes, pivots, cosine), "block-pairs")
+    both = planted.join(near, planted["block"] == near["a"]).unionByName(planted.join(near.filter("a != b"), planted["block"] == near["b"]))
     out = both.groupBy("a", "b").applyInPandas(_paired(cosine), "cls long, n long, other long")
     out = saved(out, "vector-links")
-    drop(planted, classes)
+    drop(planted, placed, ranked, classes, nodes, near)
     return out
 
 
-def _block_pairs(blocks: DataFrame, cosine: float) -> DataFrame:
-    """(a, b), a <= b: the pairs of blocks that covering radii do not rule out; at most ``MAX_BLOCKS`` rows go in."""
+def block_pairs(nodes: DataFrame, pivots: np.ndarray, cosine: float) -> DataFrame:
+    """(a, b), a <= b: the pairs of blocks of which two nodes (block, pivot, far: covering radius) are near enough.
+
+    What is broadcast are the pivots' distances, at most ``MAX_PIVOTS`` squared; blocks are joined, never vectors.
+    """
     tau = float(np.sqrt(2 - 2 * cosine))
-    listed = blocks.orderBy("block").collect()
-    c = np.array([np.frombuffer(r.centre, np.float64) for r in listed])
-    far = np.array([r.far for r in listed])
-    pairs = []
-    for i in range(len(listed)):
-        d = np.sqrt(np.maximum(0.0, 2 - 2 * (c[i:] @ c[i])))
-        pairs += [(listed[i].block, listed[i + int(k)].block) for k in np.flatnonzero(d <= far[i] + far[i:] + tau + SLACK)]
-    return blocks.sparkSession.createDataFrame(pairs, "a long, b long")
+    distance = np.sqrt(np.maximum(0.0, 2 - 2 * (pivots @ pivots.T)))
+    np.fill_diagonal(distance, 0.0)
+    reach = {r.pivot: r.far for r in nodes.groupBy("pivot").agg(F.max("far").alias("far")).collect()}  # one row a pivot
+    used = sorted(reach)
+    apart = [
+        (p, q, float(distance[p, q])) for p in used for q in used if distance[p, q] <= reach[p] + reach[q] + tau + SLACK
+    ]
+    apart = F.broadcast(nodes.sparkSession.createDataFrame(apart, "p long, q long, d double"))
+    a, b = (nodes.select(*[F.col(c).alias(c + x) for c in nodes.columns]) for x in "ab")
+    pairs = a.join(apart, F.col("pivota") == F.col("p")).join(b, F.col("pivotb") == F.col("q"))
+    pairs = pairs.filter((F.col("blocka") <= F.col("blockb")) & (F.col("d") <= F.col("fara") + F.col("farb") + (tau + SLACK)))
+    return pairs.select(F.col("blocka").alias("a"), F.col("blockb").alias("b")).distinct()
 
 
 def op1_cover_tree_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
