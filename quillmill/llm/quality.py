@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import saved
+from .memory import lean
 from .shingles import runs, word_hashes
 
 NAMES = (
@@ -156,7 +157,7 @@ class Discriminant:
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, x): the statistics of every whole text."""
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return narrow.mapInArrow(_measured, "id long, x array<double>")
+    return narrow.mapInArrow(lean(_measured), "id long, x array<double>")
 
 
 def fit(measured: DataFrame, labels: DataFrame, shrink: float = SHRINK) -> Discriminant:
