@@ -102,6 +102,27 @@ def test_cover_tree_levels_cover():
             assert len(np.unique(path[:, level])) == len(np.unique(path[:, level - 1 : level + 1], axis=0))
 
 
+def test_cover_tree_prunes_blocks_of_clusters(spark):
+    rnd = np.random.default_rng(9)
+    centres = rnd.normal(size=(24, 16))
+    x = np.concatenate([c / np.linalg.norm(c) + 0.04 * rnd.normal(size=(50, 16)) for c in centres])
+    rows = [(i, [float(v) for v in r], "a", 0.5) for i, r in enumerate(x)] + [(7, [float(v) for v in x[7]], "b", 0.1)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>, n_links string, block double")
+    met = []
+    pairs = cover_tree.block_pairs
+    cover_tree.block_pairs = lambda nodes, pivots, cosine: met.append((nodes.select("block").distinct().count(), (out := pairs(nodes, pivots, cosine)).count())) or out
+    try:
+        got = {r.vec_id: r for r in cover_tree.near_vectors(vectors, block=50).collect()}
+    finally:
+        cover_tree.block_pairs = pairs
+    blocks, near = met[0]
+    assert blocks == 24 and near < blocks * (blocks + 1) / 2 / 2  # more than half of the pairs of blocks never meet
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    link = unit @ unit.T >= 0.95
+    n = link.sum(axis=1) - 1 + link[:, 7]  # the row that repeats id 7 links with what 7 links with
+    assert {i: got[i].n_links for i in got} == dict(enumerate(n.tolist()))
+
+
 # --- op2 ------------------------------------------------------------------------------------------------------------
 
 
@@ -245,6 +266,64 @@ def test_main_text_of_sibling_articles():
     assert [line.split()[0] for line in html_text.main_text(page).split("\n")] == [f"a{i}" for i in range(8)] + [f"b{i}" for i in range(6)]
 
 
+P = "The committee met on Tuesday to discuss the plans for the new bridge, which has been delayed for years by a lack of funds."
+Q = "Residents of both banks said that they were tired of waiting, and that the ferry no longer meets the needs of the town."
+STORY, TEXT = f"<h1>Title</h1><p>{P}</p><p>{Q}</p><p>{P}</p><p>{Q}</p>", "\n".join(["Title", P, Q, P, Q])
+FOOT = "Copyright 2024 The Daily Example. All rights reserved."
+LINKS = "<li><a href=1>One thing</a></li><li><a href=2>Another thing</a></li>"
+PAGES = {
+    "plain boxes": (f"<div><div>The Daily</div><div><a href=a>Home</a></div></div><div>{STORY}</div><div><h3>Most read</h3><ul>{LINKS}</ul></div><div>{FOOT}</div>", TEXT),
+    "hashed classes": (f"<div class=a1><a href=a>Home</a></div><div class=b2><div class=c3>{STORY}</div><div class=d4><div>Most read</div><div>{LINKS}</div></div></div><div class=z9><p>{FOOT}</p></div>", TEXT),
+    "table": (f"<table><tr><td colspan=2><a href=a>Home</a> | <a href=b>News</a></td></tr><tr><td>{STORY}</td><td><b>Most read</b><br><a href=1>One</a></td></tr><tr><td>{FOOT}</td></tr></table>", TEXT),
+    "flat": (f"{STORY}<div>{FOOT}</div>", TEXT),
+    "flat, footer as text": (f"{STORY}<p>{FOOT}</p>", TEXT),
+    "comments": (f"<div>{STORY}</div><div>" + "".join(f"<div><b>Reader {i}</b><p>{Q}</p></div>" for i in range(12)) + "</div>", TEXT),
+    "comments without a heading": (f"<div><p>{P}</p><p>{Q}</p></div><div>" + "".join(f"<div><b>Reader {i}</b><p>{Q}</p></div>" for i in range(9)) + "</div>", f"{P}\n{Q}"),
+    "comments beside an article": (f"<article><p>{P}</p><p>{Q}</p></article><div>" + f"<p>{Q}</p>" * 12 + "</div>", f"{P}\n{Q}"),
+    "comments in an article": (f"<article>{STORY}" + f"<article><p>{P}</p></article>" * 9 + "</article>", TEXT),
+    "an article's class": (f"<article class=post-share>{STORY}</article>", TEXT),
+    "two articles in main": (f"<main><article>{STORY}</article><article>{STORY}</article></main>", f"{TEXT}\n{TEXT}"),
+    "a notice that is text": (f"<article>{STORY}<div class=legal-notice><p>{P}</p></div></article>", f"{TEXT}\n{P}"),
+    "names that begin with a word": (f"<div>{STORY}<div class=share-price><p>{P}</p></div><div class=social-history>{Q}</div><div id=comment-free><p>{P}</p></div></div>", f"{TEXT}\n{P}\n{Q}\n{P}"),
+    "many short lines": (f"<div><p>{P}</p><p>{Q}</p><p>{P}</p></div><div>" + "<p>Most read now</p>" * 12 + "</div>", f"{P}\n{Q}\n{P}"),
+    "lines before a text": ("<div>" + "<p>Short</p>" * 9 + f"</div><table><tr><td><p>{P}</p><p>{Q}</p></td></tr></table>", f"{P}\n{Q}"),
+    "a name that cannot be right": (f"<div class=sidebar>{STORY}</div><div>Short</div>", TEXT),
+}
+
+
+@pytest.mark.parametrize("kind", PAGES)
+def test_main_text_by_density(kind):
+    html, text = PAGES[kind]
+    assert html_text.main_text(f"<html><body>{html}</body></html>") == text
+
+
+def test_density_decides(monkeypatch):
+    monkeypatch.setattr(html_text, "ctd", lambda c, t, lc, lt, share: float(c > 0))
+    wrong = [k for k, (html, text) in PAGES.items() if html_text.main_text(f"<body>{html}</body>") != text]
+    assert {"many short lines", "lines before a text"} <= set(wrong)
+
+
+def test_densities_are_the_formula():
+    page = html_text._Page("<body><div><p>abcde <a href=x>fgh</a></p><p>ijklmnopqrst</p></div><nav><a>uvw</a></nav></body>")
+    d = html_text._Densities(page, page._below(lambda k: page.sign[k] == html_text.OUT))
+    at = {tag: k for k, tag in enumerate(page.tag)}
+
+    def formula(c, t, lc, lt):  # the page has 23 characters, 6 of them links
+        base = math.log(c / max(c - lc, 1) * lc + 6 / 23 * c + math.e**2)
+        return c / t * math.log(c / max(lc, 1) * t / max(lt, 1), base)
+
+    first, second = (k for k, tag in enumerate(page.tag) if tag == "p")
+    assert [d.chars[k] for k in (at["div"], first, second, at["nav"])] == [20, 8, 12, 0]
+    assert d.density[second] == pytest.approx(formula(12, 1, 0, 0)) and d.density[first] == pytest.approx(formula(8, 1, 3, 1))
+    assert d.density[at["div"]] == pytest.approx(formula(20, 3, 3, 1)) and d.density[at["nav"]] == 0
+    assert d.total[at["div"]] == pytest.approx(d.density[first] + d.density[second]) and d.total[at["body"]] == pytest.approx(d.density[at["div"]])
+    assert d.top[0] == at["div"]
+
+
+def test_main_text_of_no_pages(spark):
+    assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
 # --- op5 ------------------------------------------------------------------------------------------------------------
 
 
@@ -343,6 +422,35 @@ def test_license_scan(spark):
     assert licenses.scan(docs_of(spark, [])).count() == 0
 
 
+def test_license_spans_survive_what_stands_around(spark):
+    rnd = random.Random(8)
+    mit, isc = licenses.NOTICES[0][0], licenses.NOTICES[-1][0]
+    rows = [(1, mit + " the software" * 40), (2, mit + " and the software" * 30), (3, "the software " * 40 + mit), (4, mit), (5, mit + " " + isc), (6, "the software " * 3000)]
+    for k in range(10, 40):  # a notice with words put in and left out, between any words of notices
+        words = [w for w in rnd.choice((mit, isc)).split() for w in ([w] if rnd.random() < 0.93 else rnd.choice(([], [w, "indeed"])))]
+        noise = lambda: [rnd.choice((mit + " " + isc).split()) for _ in range(rnd.randrange(60))]
+        rows.append((k, " ".join(noise() + words + noise())))
+    templates = [(t.split(), label) for t, label in licenses.NOTICES]
+
+    def plain(text):
+        words, best, labels = text.split(), 0.0, set()
+        for template, label in templates:
+            grams, hits = len(template) - 1, set()
+            for w in range(len(words) - 1):
+                hits |= {(w - p, p) for p in range(grams) if words[w : w + 2] == template[p : p + 2]}
+            for lo in {d for d, _ in hits}:
+                share = len({p for d, p in hits if lo <= d <= lo + licenses.reach(grams)}) / grams
+                best = max(best, share)
+                labels |= {label} if share >= licenses.COVERAGE else set()
+        return ",".join(sorted(labels)), best
+
+    out = {r.doc_id: r for r in licenses.scan(docs_of(spark, rows)).collect()}
+    assert [out[i].labels for i in range(1, 7)] == ["mit", "mit", "mit", "mit", "isc,mit", ""] and out[1].score == 1.0
+    for i, text in rows:
+        labels, best = plain(text)
+        assert out[i].labels == labels and out[i].score == pytest.approx(best)
+
+
 # --- op8 ------------------------------------------------------------------------------------------------------------
 
 
@@ -377,6 +485,41 @@ def test_mix_meets_targets(spark):
     assert mixing.allocate(docs_of(spark, [])).count() == 0
 
 
+def test_schedule_is_the_ordered_stream(spark):
+    rows = [(i, "w " * (i % 7), "abc"[min(2, i % 8)] if i % 11 else None) for i in range(300)] + [(None, "x y", "c"), (7, "w w", "b"), (7, "w w", "b")]
+    docs = docs_of(spark, rows)
+    got, plan = mixing.schedule(docs).collect(), mixing.allocate(docs)
+    runs = sorted((r.position, r.doc_id, r["pass"], r.words) for r in mixing.stream(plan).filter("doc_id is not null and doc_id <> 7").collect())
+    assert len(got) == len(rows) and sum(r.taken for r in got) == sum(r.taken for r in plan.collect())
+    places = [r.first_place for r in got]
+    taken = [p for p in places if p is not None]
+    assert taken == sorted(taken) and places[len(taken) :] == [None] * (len(rows) - len(taken)) and taken[0] == 0
+    by = {r.doc_id: r for r in got}
+    for i in {r[1] for r in runs}:
+        own = [r for r in runs if r[1] == i]
+        assert by[i].taken == sum(r[3] for r in own) and by[i].first_position == own[0][0]
+    for source, slope in (("a", -0.5), ("b", 0.0), ("c", 0.5)):  # by half of the time, a source has given the integral of its weight
+        own = [r for r in mixing.stream(plan).filter(F.col("source") == source).collect()]
+        assert abs(sum(r.words for r in own if r.position < 0.5) / own[0].target - ((1 - slope) / 2 + slope / 4)) < 0.05
+    assert mixing.schedule(docs_of(spark, [])).count() == 0
+
+
+def test_targets_of_many_sources(spark):
+    sizes = [(f"s{i:04}", (i * 37) % 101) for i in range(1000)] + [(None, 50)]
+    got = {r.source: r.target for r in mixing.targets(spark.createDataFrame(sizes, "source string, source_size long")).collect()}
+    names = [n for n, _ in sizes]
+    left, open_, want = sum(n for _, n in sizes), set(names), {}
+    weight, size = {n: 1 + k % 3 for k, n in enumerate(names)}, dict(sizes)
+    while open_:
+        level = left / sum(weight[n] for n in open_)
+        over = {n for n in open_ if level * weight[n] > 3 * size[n]}
+        want.update({n: 3.0 * size[n] if over else level * weight[n] for n in over or open_})
+        if not over:
+            break
+        left, open_ = left - sum(want[n] for n in over), open_ - over
+    assert got == pytest.approx(want)
+
+
 def test_positions_invert_the_schedule(spark):
     grid = [(u / 10, s) for u in range(11) for s in (-0.5, 0.0, 0.5, 1.0)]
     for r in spark.createDataFrame(grid, "u double, s double").select("u", "s", mixing.position(F.col("u"), F.col("s")).alias("t")).collect():
@@ -437,6 +580,51 @@ def test_keep_good_decides_by_row(spark):
     assert [r.text for r in kept.filter("doc_id is null").collect()] == [text] and [r.text for r in kept.filter(f"doc_id = {10**12}").collect()] == [text]
 
 
+def test_statistics_are_plain_counts(spark):
+    import pyarrow as pa
+
+    texts = ["", "One two TWO two two! 42 times; a|b\n\nstop. the the the", "é ü 日本 #hash", "x" * 30, "A\tB  C\n", None, "!!! ||| ..."]
+    got = np.concatenate([quality.statistics(data, offsets) for _, _, data, offsets in shingles.runs(pa.array(texts))])
+    share = lambda part, whole: math.asin(math.sqrt(min(1.0, max(0.0, part / max(whole, 1)))))
+    for row, text in zip(got, texts, strict=True):
+        raw = (text or "").encode()
+        words = [w for w in re.split(rb"[\x20\x09-\x0D]+", raw) if w]
+        seen = [b for b in raw if b not in b" \t\n\x0b\x0c\r"]
+        upper, lower = (sum(a <= b <= z for b in raw) for a, z in ((65, 90), (97, 122)))
+        wide, digits = sum(b > 127 for b in raw), sum(48 <= b <= 57 for b in raw)
+        shout, bar, stops = raw.count(b"!"), raw.count(b"|"), sum(b in b".,;:'\"?()-" for b in raw)
+        sizes, low = [len(w) for w in words], [w.lower() for w in words]
+        mean = sum(sizes) / max(len(sizes), 1)
+        spread = math.sqrt(max(0.0, sum(n * n for n in sizes) / max(len(sizes), 1) - mean * mean))
+        counts = [low.count(w) for w in set(low)]
+        want = [
+            math.log1p(len(words)), share(len(seen) - upper - lower - wide - digits - shout - bar - stops, len(seen)), share(upper, upper + lower), share(digits, len(seen)),
+            share(shout, len(seen)), share(bar, len(seen)), share(wide, len(seen)), math.log1p(mean), math.log1p(spread),
+            share(sum(a == b for a, b in zip(low, low[1:])), len(words)), share(len(counts), len(words)), share(max(counts, default=0) - 1, len(words)), share(stops, len(seen)),
+            share(raw.count(b"\n"), len(words)),
+        ]
+        assert row.tolist() == pytest.approx(want, abs=1e-9), text
+
+
+def test_scores_are_a_plain_discriminant(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    x = {r.id: np.array(r.x) for r in quality.measure(docs).collect()}
+    y = {r.doc_id: r.quality for r in labels.collect() if zlib.crc32(str(r.doc_id).encode()) % 5}
+    groups = [np.array([x[i] for i in x if y.get(i) == k]) for k in (0, 1)]
+    covs = [np.cov(g.T, bias=True) for g in groups]
+    pooled = np.maximum(sum(len(g) * np.diag(c) for g, c in zip(groups, covs, strict=True)) / sum(map(len, groups)), 1e-6)
+
+    def density(v, k):
+        cov = (1 - quality.SHRINK) * covs[k] + quality.SHRINK * np.diag(pooled)
+        diff = v - groups[k].mean(axis=0)
+        return math.log(len(groups[k]) / sum(map(len, groups))) - 0.5 * (diff @ np.linalg.solve(cov, diff) + np.linalg.slogdet(cov)[1])
+
+    for r in quality.scores(docs, labels).collect():
+        gap = density(x[r.doc_id], 0) - density(x[r.doc_id], 1)
+        assert r.score == pytest.approx(1 / (1 + math.exp(min(500, max(-500, gap)))), abs=1e-6)
+
+
 def test_quality_edges(spark):
     docs = docs_of(spark, EDGES)
     none = spark.createDataFrame([], "doc_id long, quality int")
@@ -478,6 +666,40 @@ def test_exact_dedup(spark):
     assert exact_dedup.resolve(docs_of(spark, []), exact_dedup.fresh_index(spark)).count() == 0
 
 
+def test_queries_leave_no_index(spark, tmp_path):
+    docs_of(spark, [(1, "a"), (2, "a"), (3, "b")]).write.parquet(f"{tmp_path}/documents.parquet")
+    before = {t.name for t in spark.catalog.listTables()}
+    assert {r.doc_id: r.kept for r in exact_dedup.op10_exact_dedup(spark, str(tmp_path)).collect()} == {1: True, 2: False, 3: True}
+    assert exact_dedup.dedup_exact(spark.read.parquet(f"{tmp_path}/documents.parquet")).count() == 2
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_index_has_a_file_a_bucket(spark, tmp_path):
+    at = f"file:{tmp_path}/index"
+    index = exact_dedup.DigestIndex(spark, "digests_c", at, buckets=3)
+    exact_dedup.resolve(docs_of(spark, [(i, f"t{i}") for i in range(200)]).repartition(5), index).count()
+    assert len([p for p in (tmp_path / "index").iterdir() if p.name.startswith("part-")]) == 3
+    index.drop()
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from quillmill.llm import common
+
+    def session(master, at):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda *a: at), sparkContext=SimpleNamespace(master=master, applicationId="x-" + master))
+
+    for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1000]", "k8s://x"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            common.shared_dir(session(master, ""))
+        assert common.shared_dir(session(master, "hdfs://x/y/")) == "hdfs://x/y"
+    path = common.saved(spark.range(3), "test")
+    assert path.count() == 3
+    common.drop(path)
+    assert not common._located(spark, path._qm_path)[0].exists(common._located(spark, path._qm_path)[1])
+
+
 def test_digest_index_persists(spark, tmp_path):
     at = f"file:{tmp_path}/index"
     first = exact_dedup.DigestIndex(spark, "digests_a", at, buckets=3)
