@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from .common import attach, drop, saved, staying
 from .components import connected_components, smallest_ids
+from .memory import lean
 from .shingles import distinct, mix, runs, shingle_hashes, shingle_sets
 
 REGISTERS, BANDS, ROWS = 128, 25, 5
@@ -162,21 +163,26 @@ BLOCK_ROWS, BLOCK_ELEMENTS = 1024, 2_000_000
 SMALL_BUCKET = 24
 
 
-def _across(rows: DataFrame, key: str, task, schema: str, columns: list[str]) -> DataFrame:
-    """Runs ``task`` on blocks of each key with several components: (members outside the largest component) x (all)."""
+def _across(rows: DataFrame, key: str, task, schema: str, columns: list[str], beyond: int = 1, more: DataFrame | None = None) -> DataFrame:
+    """Runs ``task`` on blocks of each key with several components and more than ``beyond`` members: (members outside the
+    largest component) x (all). ``more`` adds columns by class. Blocks are dealt by key and place, so that those of one key
+    run in as many tasks as there are; a hot key's sizes reach its members by a broadcast (see ``attach``).
+    """
     parts = rows.groupBy(key, "comp").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("sum"))
     whole = parts.groupBy(key).agg(
         F.count(F.lit(1)).alias("comps"), F.max(F.struct("size", "comp")).alias("top"), F.sum("size").alias("size"), F.sum("sum").alias("sum")
     )
     blocks = lambda size: F.greatest(F.ceil(size / BLOCK_ROWS), F.ceil(F.col("sum") / F.col("size") * size / BLOCK_ELEMENTS), F.lit(1)).cast("int")
-    whole = whole.filter("comps > 1").select(
-        key, F.col("top.comp").alias("largest"), blocks(F.col("size")).alias("right"), blocks(F.col("size") - F.col("top.size")).alias("left")
+    whole = whole.filter((F.col("comps") > 1) & (F.col("size") > beyond)).select(
+        key, "size", F.col("top.comp").alias("largest"), blocks(F.col("size")).alias("right"), blocks(F.col("size") - F.col("top.size")).alias("left")
     )
-    placed = rows.join(whole, key).withColumn("h", F.xxhash64("cls"))
+    whole = saved(whole, "open-keys")
+    placed = attach(rows, whole, key, "size", rows.count()).filter("largest is not null").withColumn("h", F.xxhash64("cls"))
+    placed = placed if more is None else placed.join(more, "cls")
     other = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = placed.filter("comp != largest").select(key, F.expr("cast(pmod(h, left) as int)").alias("i"), other("right").alias("j"), F.lit(True).alias("is_left"), *columns)
     right = placed.select(key, other("left").alias("i"), F.expr("cast(pmod(h, right) as int)").alias("j"), F.lit(False).alias("is_left"), *columns)
-    return left.unionByName(right).groupBy(key, "i", "j").applyInPandas(task, schema)
+    return left.unionByName(right).repartition(key, "i", "j").groupBy(key, "i", "j").applyInPandas(task, schema)
 
 
 class _Union:
@@ -283,7 +289,7 @@ def _near_rows(docs: DataFrame, least_pct: int, id_col: str, text_col: str) -> D
     """``near_groups`` with ``_qm_t``, the digest of the row's text."""
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), _text_digest(F.col(text_col)).alias("t"))
     schema = "id long, t binary, n long, d0 long, d1 long, bands array<long>, " + ", ".join(f"{p} long" for p in PLANES)
-    signed = saved(texts.mapInArrow(_signed, schema), "signed")
+    signed = saved(texts.mapInArrow(lean(_signed), schema), "signed")
 
     # classes of equal sets; equal sets have equal signatures, so any member's will do
     classes = signed.filter("n > 0 and id is not null").groupBy("d0", "d1").agg(
@@ -313,12 +319,11 @@ def _near_rows(docs: DataFrame, least_pct: int, id_col: str, text_col: str) -> D
         "bucket", F.coalesce("component", F.col("m.cls")).alias("comp"), "m.*"
     )
     placed = saved(placed, "placed")
-    large = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
-    forest = _across(
-        placed.join(large.filter(F.col("size") > SMALL_BUCKET).select("bucket"), "bucket"), "bucket", _forest(least_pct), "a long, b long", ["cls", "comp", "n", *PLANES]
-    )
+    forest = _across(placed, "bucket", _forest(least_pct), "a long, b long", ["cls", "comp", "n", *PLANES], SMALL_BUCKET)
     # a small bucket's pairs are bounded by its size, so a join may list them
-    few = placed.join(large.filter(F.col("size") <= SMALL_BUCKET).select("bucket"), "bucket").select("bucket", "comp", F.struct("n", *PLANES).alias("m"))
+    small = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    small = small.filter((F.col("lo") < F.col("hi")) & (F.col("size") <= SMALL_BUCKET)).select("bucket")
+    few = placed.join(small, "bucket").select("bucket", "comp", F.struct("n", *PLANES).alias("m"))
     l, r = few.withColumnsRenamed({"m": "l", "comp": "a"}), few.withColumnsRenamed({"m": "r", "comp": "b"})
     few = l.join(r, "bucket").filter((F.col("a") < F.col("b")) & _possible("l", "r", least_pct)).select("a", "b")
     clusters = connected_components(saved(forest.unionByName(few).distinct(), "forest"))
@@ -329,14 +334,16 @@ def _near_rows(docs: DataFrame, least_pct: int, id_col: str, text_col: str) -> D
         inside = inside.select("cls", "n", *PLANES, F.coalesce("component", "cls").alias("comp")).join(clusters, "comp")
         inside = saved(inside, "open")
         more = _sets_of(texts, classes, inside.select("cls"))
-        inside = inside.join(more, "cls")
-        last = _across(inside, "cluster", _decided(least_pct), "a long, b long", ["cls", "comp", "n", *PLANES, "elements"])
-        links = saved(links.unionByName(last), "links")
-        found = saved(connected_components(links), "components")
-    drop(members, placed, sets)
+        last = _across(inside, "cluster", _decided(least_pct), "a long, b long", ["cls", "comp", "n", *PLANES, "elements"], more=more)
+        all_links = saved(links.unionByName(last), "links")
+        drop(found, inside, more)
+        found = saved(connected_components(all_links), "components")
+        drop(all_links)
+    drop(members, placed, sets, stars, links, clusters)
 
     groups = classes.select("d0", "d1", "cls", "least", "copies").join(smallest_ids(classes, found), "cls", "left")
-    groups = groups.select(F.struct("d0", "d1").alias("d"), "copies", F.coalesce("component_id", "least").alias("component_id"))
+    groups = saved(groups.select(F.struct("d0", "d1").alias("d"), "copies", F.coalesce("component_id", "least").alias("component_id")), "groups")
+    drop(classes, found)
     rows = signed.select("id", "t", "n", F.struct("d0", "d1").alias("d"))
     grouped = attach(rows, groups, "d", "copies", signed.count())
     return grouped.select(
@@ -352,8 +359,10 @@ def _sets_of(texts: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFra
     wanted = saved(classes.join(wanted.toDF("cls").distinct(), "cls").select("cls", "own.id", "own.t"), "wanted")
     # ids alone are narrow enough to broadcast: only the texts of wanted ids travel
     ids = saved(wanted.select("id").distinct(), "ids")
-    rows = texts.join(ids, "id", "left_semi").join(wanted, ["id", "t"]).select("cls", "text").mapInArrow(_sets, "cls long, elements binary")
-    return saved(rows.groupBy("cls").agg(F.first("elements").alias("elements")), "sets")
+    rows = texts.join(ids, "id", "left_semi").join(wanted, ["id", "t"]).select("cls", "text").mapInArrow(lean(_sets), "cls long, elements binary")
+    out = saved(rows.groupBy("cls").agg(F.first("elements").alias("elements")), "sets")
+    drop(wanted, ids)
+    return out
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, least_pct: int) -> DataFrame:
