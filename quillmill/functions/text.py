@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.values import FUNCTION_WORDS, KEPT_PHRASES, MIN_TEXT, SCRAPS
 
+# CJK characters, emoji, noise in cleaned text, and the names of images and videos.
 CJK = r"\x{4e00}-\x{9fff}"
 EMOJI = r"[\x{1F300}-\x{1F9FF}\x{2600}-\x{26FF}\x{2700}-\x{27BF}]+"
 NOISE = r"(?i)\d{4,}|\?{3,}|<\s*html|&[a-z]+;"
@@ -169,6 +170,12 @@ def object_path(name: Column, bucket: str, base: str = "raw/images") -> Column:
     )
 
 
+def bucket_and_key(path: Column) -> Column:
+    """STRUCT<bucket, key> of an s3a path; null where there is no bucket."""
+    parts_ = lambda i: F.regexp_extract(F.trim(path), r"^s3a://([^/]+)/*(.*)$", i)
+    return F.when(parts_(1) != "", F.struct(parts_(1).alias("bucket"), parts_(2).alias("key")))
+
+
 def display_time(ts: Column, zone: str = "Asia/Taipei", suffix: str = "（台北）") -> Column:
     """A UTC time as local text; null is a dash."""
     return F.coalesce(F.concat(F.date_format(F.from_utc_timestamp(ts, zone), "yyyy-MM-dd HH:mm:ss"), F.lit(f" {suffix}")), F.lit("—"))

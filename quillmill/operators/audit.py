@@ -20,14 +20,6 @@ class Finding:
     detail: dict = field(default_factory=dict)
 
 
-def distinct_values(df: DataFrame, column: str) -> list[str]:
-    """The trimmed, non-empty values of a column; [] if it is not there."""
-    if column not in df.columns:
-        return []
-    rows = df.select(F.trim(column).alias("v")).filter("v <> ''").distinct().collect()
-    return sorted(r.v for r in rows)
-
-
 def lexicon_drift(name: str, old_version: str | None, old_hash: str | None, version: str, content_hash: str) -> Finding:
     """A list must not change under an unchanged version."""
     detail = {"manifest_version": old_version, "manifest_hash": old_hash, "version": version, "hash": content_hash}
@@ -92,9 +84,50 @@ def approved_snapshot(manifest: Mapping, found: bool | None) -> Finding:
 
 
 def bronze_facts(bronze: DataFrame) -> dict:
-    """Row count and signatures, in one pass."""
-    r = bronze.agg(F.count(F.lit(1)).alias("n"), F.collect_set(F.trim("ocr_signature")).alias("s")).first()
-    return {"rows": r.n, "signatures": sorted(x for x in r.s if x)}
+    """Row count and signatures."""
+    return {"rows": bronze.count(), "signatures": distinct_few(bronze, "ocr_signature")}
+
+
+def distinct_few(df: DataFrame, column: str, most: int = 1000) -> list[str]:
+    """The trimmed, non-empty values of a column that holds versions or signatures; more than ``most`` of them raise."""
+    if column not in df.columns:
+        return []
+    rows = df.select(F.trim(column).alias("v")).filter("v <> ''").distinct().limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"{column}: more than {most} values, which are no versions")
+    return sorted(r.v for r in rows)
+
+
+def table_facts(bronze: DataFrame | None, silver: DataFrame | None, gold: DataFrame | None) -> dict:
+    """What the audit asks of a dataset's tables; a missing table has no rows. Of snapshots the latest one's rules count."""
+    count = lambda t: 0 if t is None else t.count()
+    newest = None if gold is None else gold.join(F.broadcast(gold.agg(F.max("snapshot_at").alias("_qm_at"))), F.col("snapshot_at") == F.col("_qm_at"))
+    return {
+        "bronze_rows": count(bronze), "signatures": [] if bronze is None else distinct_few(bronze, "ocr_signature"),
+        "silver_rows": count(silver), "versions": [] if silver is None else distinct_few(silver, "silver_transform_version"),
+        "gold_rows": count(gold), "rule_versions": [] if newest is None else distinct_few(newest, "rule_version"),
+    }
+
+
+def exploration_note(lexicon) -> Finding:
+    """For the record: the exploration list has a version of its own and may differ from the release's."""
+    differ = lexicon.release_hash != lexicon.exploration_hash
+    return Finding("gold.exploration_note", PASS, "exploration list differs from the release's" if differ else "both lists are the same", {"version": lexicon.exploration_version})
+
+
+def run_audit(manifest: Mapping, lexicon, silver_version: str, rule_version: str, facts: Mapping | None = None, approved_found: bool | None = None) -> list[Finding]:
+    """All findings of a dataset; without ``facts`` (offline) those about settings and word lists alone."""
+    want, gold = manifest.get("runtime") or {}, manifest.get("gold") or {}
+    out = runtime(manifest, silver_version, rule_version)
+    if facts is not None:
+        allowed = (manifest.get("bronze") or {}).get("allowed_ocr_signatures") or ()
+        out.append(signatures(facts["signatures"], facts["bronze_rows"], allowed))
+        out.append(silver_versions(facts["versions"], want.get("silver_transform_version") or silver_version))
+        out.append(topic_snapshot(facts["gold_rows"], facts["rule_versions"], gold.get("topic_rule_version") or rule_version))
+        out.append(approved_snapshot(manifest, approved_found))
+    out.append(exploration_note(lexicon))
+    out.append(lexicon_drift("release_lexicon", gold.get("release_lexicon_version"), gold.get("lexicon_content_hash"), lexicon.release_version, lexicon.release_hash))
+    return out
 
 
 def exit_code(findings: Iterable[Finding], strict: bool = False) -> int:

@@ -126,9 +126,16 @@ def _near_words(words: Column, t: Topic) -> Column:
 
 
 def exact_topics(tokens: Column, rules: TopicRules = DRINKS) -> Column:
-    """The topics that the funnel confirms without fuzzy matching, as an array in the rules' order."""
+    """The topics that the funnel confirms without fuzzy matching, as an array in the rules' order.
+
+    Words and joined texts are bound to lambda variables, so that each is made once a row however many rules ask for it.
+    """
     words = F.filter(F.transform(F.coalesce(tokens, strings([])), lambda t: F.lower(F.trim(t))), lambda t: t != "")
-    spaced, joined = F.array_join(words, " "), F.array_join(words, "")
+    bound = F.transform(F.array(words), lambda w: F.struct(w.alias("words"), F.array_join(w, " ").alias("spaced"), F.array_join(w, "").alias("joined")))
+    return F.element_at(F.transform(bound, lambda b: _exact_topics(b["words"], b["spaced"], b["joined"], rules)), 1)
+
+
+def _exact_topics(words: Column, spaced: Column, joined: Column, rules: TopicRules) -> Column:
     quoted = lambda terms: "|".join(re.escape(t) for t in terms)
     stated = lambda terms: joined.rlike(f"(?<![{''.join(rules.negations)}])(?:{quoted(terms)})" if rules.negations else f"(?:{quoted(terms)})")
     held = lambda term: F.contains(spaced, F.lit(term)) | F.contains(joined, F.lit(term))

@@ -111,6 +111,26 @@ def quality_metrics(silver: DataFrame, key: str = "image_path", long_token: int
     return one.crossJoin(F.broadcast(groups.agg(F.coalesce(F.sum("c"), zero).alias("duplicate_image_path_rows"))))
 
 
+def row_metrics(silver: DataFrame, long_token: int = 10) -> DataFrame:
+    """The quality measures of each row: lengths, retention, share of characters in tokens, short and long tokens, noise, digits."""
+    text, clean = F.coalesce("extracted_text", F.lit("")), F.coalesce("cleaned_text", F.lit(""))
+    tokens = F.filter(F.transform(F.coalesce("tokens", F.array().cast("array<string>")), lambda t: F.trim(t)), lambda t: t != "")
+    chars = F.aggregate(tokens, F.lit(0), lambda n, t: n + F.length(t))
+    of = lambda f: F.size(F.filter(tokens, f))
+    return silver.select(
+        "image_path",
+        F.length(text).alias("extracted_len"),
+        F.length(clean).alias("cleaned_len"),
+        F.size(tokens).alias("token_count"),
+        F.coalesce(F.try_divide(F.length(clean), F.length(text)), F.lit(1.0)).alias("char_retention"),
+        F.coalesce(F.try_divide(chars, F.length(clean)), F.lit(0.0)).alias("token_char_coverage"),
+        of(lambda t: F.length(t) == 1).alias("len1_token_count"),
+        of(lambda t: F.length(t) > long_token).alias("long_token_count"),
+        is_noise(clean).alias("has_noise"),
+        F.exists(F.split(clean, " "), lambda p: p.rlike(r"^\p{Nd}+$")).alias("has_digit_token"),
+    )
+
+
 @dataclass
 class Verdict:
     passed: bool

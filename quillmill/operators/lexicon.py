@@ -93,6 +93,15 @@ def candidates(patterns: Iterable[str], dataset: str | None, version: str | None
     return list(dict.fromkeys(out))
 
 
+def read_first(spark: SparkSession, paths: Iterable[str]) -> tuple[str | None, list[str]]:
+    """(place, words) of the first of the ``candidates`` that has words; (None, []) if none has."""
+    for path in paths:
+        words = read_words(spark, path)
+        if words:
+            return path, words
+    return None, []
+
+
 def filter_tokens(tokens: Column, stop: Iterable[str]) -> Column:
     """Lower-cased tokens outside the list, each once."""
     lower = F.transform(F.coalesce(tokens, strings([])), lambda t: F.lower(F.trim(t)))

@@ -9,6 +9,7 @@ import tempfile
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, replace
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -95,12 +96,37 @@ def prepare_image(content: bytes, config: Config):
     grey = ImageEnhance.Sharpness(ImageEnhance.Contrast(grey).enhance(used.contrast)).enhance(used.sharpness)
     if used.invert == "always" or (used.invert == "auto" and ImageStat.Stat(grey).mean[0] < 127):
         grey = ImageOps.invert(grey)
-    if used.binarise != "none":
+    if used.binarise == "adaptive":
+        grey = Image.fromarray(adaptive(np.asarray(grey)))
+    elif used.binarise == "otsu":
         level = otsu_level(grey.histogram())
         grey = grey.point(lambda v: 255 if v > level else 0)
+    if used.morph and used.binarise in ("adaptive", "otsu"):
+        grey = Image.fromarray(opened(np.asarray(grey)))
     return grey, used
 
 
+def adaptive(grey: np.ndarray, block: int = 31, offset: int = 10) -> np.ndarray:
+    """White where a pixel is above the Gaussian mean of its block x block surroundings less ``offset``, else black."""
+    half = block // 2
+    at = np.arange(-half, half + 1)
+    weight = np.exp(-(at**2) / (2 * (0.3 * (half - 1) + 0.8) ** 2))
+    mean = grey.astype(float)
+    for axis in (0, 1):
+        wide = np.pad(mean, [(half, half) if a == axis else (0, 0) for a in (0, 1)], mode="edge")
+        mean = sum(w * np.take(wide, np.arange(i, i + mean.shape[axis]), axis) for i, w in enumerate(weight / weight.sum()))
+    return np.where(grey > mean - offset, 255, 0).astype(np.uint8)
+
+
+def opened(binary: np.ndarray) -> np.ndarray:
+    """White specks below 2 x 2 pixels go: the least of each 2 x 2 square, then the most."""
+    for best, fill in ((np.minimum, 255), (np.maximum, 0)):
+        before = best is np.minimum
+        wide = np.pad(binary, ((1, 0), (1, 0)) if before else ((0, 1), (0, 1)), constant_values=fill)
+        binary = best(best(wide[1:, 1:], wide[:-1, 1:]), best(wide[1:, :-1], wide[:-1, :-1]))
+    return binary
+
+
 def otsu_level(histogram: list[int]) -> int:
     """The grey level that parts a histogram with the largest variance between its sides."""
     total, weighted = sum(histogram), sum(i * n for i, n in enumerate(histogram))

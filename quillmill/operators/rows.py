@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import dataset_of_path
+from ..functions.text import dataset_of_path, display_time
+
+#: The columns that tell a row's age, the first that is there.
+TIMES = ("quarantined_at", "ingestion_timestamp", "etl_update_timestamp", "snapshot_at")
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -100,6 +105,24 @@ def dataset_replaced(target: DataFrame, new: DataFrame, dataset: str | None) ->
     return kept.unionByName(new, allowMissingColumns=True)
 
 
+def of_images(df: DataFrame, paths: Sequence[str], few: int = 100) -> DataFrame:
+    """The rows of the images named: a filter that reaches the scan for a few, a semi join for more."""
+    paths = list(dict.fromkeys(p.strip() for p in paths if p and p.strip()))
+    if len(paths) <= few:
+        return df.filter(F.col("image_path").isin(*paths)) if paths else df.limit(0)
+    return df.join(df.sparkSession.createDataFrame([(p,) for p in paths], "image_path string"), "image_path", "left_semi")
+
+
+def preview(df: DataFrame, k: int = 20, *ties: str, descending: bool = True, score: tuple[str, ...] = ("tfidf_score", "total_tf"), most: int = 200) -> DataFrame:
+    """The newest k rows (1 to ``most``), or the best by the first score there is where no time is; times as text to show."""
+    ordered = [c for c in TIMES if c in df.columns] or [c for c in score if c in df.columns]
+    if ordered:
+        first = F.col(ordered[0])
+        df = df.orderBy(first.desc_nulls_last() if descending else first.asc_nulls_last(), *ties)
+    shown = {f.name: display_time(F.col(f.name).cast("timestamp")) for f in df.schema if f.dataType.typeName() in ("timestamp", "timestamp_ntz")}
+    return df.limit(max(1, min(k, most))).withColumns(shown)
+
+
 def with_columns(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Missing columns as typed nulls."""
     return df.withColumns({c: F.lit(None).cast(t) for c, t in columns.items() if c not in df.columns})
@@ -107,7 +130,7 @@ def with_columns(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 def by_time(df: DataFrame, descending: bool = True) -> DataFrame:
     """Ordered by the first time column that is there, nulls last."""
-    found = next((c for c in ("ingestion_timestamp", "etl_update_timestamp", "quarantined_at", "snapshot_at") if c in df.columns), None)
+    found = next((c for c in TIMES if c in df.columns), None)
     if found is None:
         return df
     return df.orderBy(F.col(found).desc_nulls_last() if descending else F.col(found).asc_nulls_last())

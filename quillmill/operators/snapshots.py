@@ -61,6 +61,16 @@ def release_of(rows: DataFrame, version: str, content_hash: str):
     return of_release(rows, version, content_hash).agg(F.max("snapshot_at").alias("at")).first().at
 
 
+def latest_of_release(rows: DataFrame, version: str | None = None, content_hash: str | None = None, keys: Sequence[str] = ("dataset_id",)) -> DataFrame:
+    """The rows of each key's latest snapshot among those of a release."""
+    return latest(of_release(rows, version, content_hash), keys)
+
+
+def verified(rows: DataFrame, dataset: str, when: Column, version: str | None = None, content_hash: str | None = None) -> bool:
+    """Whether a dataset has a snapshot of a release at a time."""
+    return not of_release(rows, version, content_hash).filter((F.col("dataset_id") == dataset) & (F.col("snapshot_at") == when)).isEmpty()
+
+
 def deletion(rows: DataFrame, dataset: str, when: Column, dry_run: bool = True) -> tuple[str, int, DataFrame]:
     """(noop | not_found | dry_run | ok, rows concerned, what is left)."""
     if rows.isEmpty():

@@ -16,7 +16,10 @@ from ..functions import fuzzy, text
 from ..functions.text import strings
 from ..operators import audit, corpus, funnel, gates, lexicon, recognise, rows, snapshots
 from ..operators.values import FUNCTION_WORDS, KEPT_PHRASES, SCRAPS, Topic, TopicRules
+from ..sources import files, keys
+from ..sources.store import TableStore
 from ..streaming import increment
+from .layers import Layers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -147,6 +150,19 @@ def phrase_pmi(spark, d):
     return _rounded(corpus.phrase_pmi(tokens(spark, d), "tokens", 2), "pmi_score")
 
 
+SQL_PMI = ORACLE_SQL["phrase_pmi"]
+
+
+@query("phrase_top", f"SELECT * FROM ({SQL_PMI}) ORDER BY pmi_score DESC, bigram_count DESC, phrase LIMIT 100")
+def phrase_top(spark, d):
+    return corpus.top(phrase_pmi(spark, d), "pmi_score", 100, F.col("bigram_count").desc(), "phrase")
+
+
+@query("gold_preview", f"WITH {SQL_TOKENS}, {SQL_TFIDF.format(word='word')} SELECT * FROM tfidf ORDER BY tfidf_score DESC, keyword LIMIT 50")
+def gold_preview(spark, d):
+    return rows.preview(tfidf_keywords(spark, d), 50, "keyword")
+
+
 @query("top_tokens", f"WITH {SQL_TOKENS} SELECT w AS token, count(*) AS n FROM word GROUP BY 1 ORDER BY n DESC, token LIMIT 50")
 def top_tokens(spark, d):
     return corpus.top_tokens(tokens(spark, d), "tokens")
@@ -204,6 +220,34 @@ def lexicon_hash(spark, d):
     return lexicon.content_hash_of(table(spark, d, "benchmark").select(F.explode(F.split("text", " ")).alias("w")), "w")
 
 
+SQL_KEPT = """(SELECT doc_id, string_agg(w, ' ' ORDER BY pos) AS tokens FROM word WHERE w NOT IN ({stop}) GROUP BY 1)"""
+
+
+@query(
+    "lexicon_columns",
+    f"""WITH {SQL_TOKENS} SELECT d.doc_id, coalesce(a.tokens, '') AS analytics_tokens, coalesce(e.tokens, '') AS tfidf_exploration_tokens FROM documents d
+    LEFT JOIN {SQL_KEPT.format(stop=sql_list(STOP))} a USING (doc_id) LEFT JOIN {SQL_KEPT.format(stop=sql_list(STOP + EXTRA_STOP))} e USING (doc_id)""",
+)
+def lexicon_columns(spark, d):
+    lex = lexicon.Lexicon("docs", STOP, tuple(lexicon.merge(STOP, EXTRA_STOP)))
+    both = lexicon.with_lexicon_tokens(tokens(spark, d), lex)
+    return both.select("doc_id", *[F.array_join(c, " ").alias(c) for c in ("analytics_tokens", "tfidf_exploration_tokens")])
+
+
+LINES = ("# stop words", "The", "", "  and  # often", "the", "una")
+
+
+@query("stopword_lines", "SELECT * FROM (VALUES ('file', 0, 'the'), ('file', 1, 'and'), ('file', 2, 'una'), ('effective', 0, 'the'), ('effective', 1, 'una')) t(kind, pos, term)")
+def stopword_lines(spark, d):
+    """A list written as a file, read back through Spark, and what is left of it without protected words."""
+    at = files.shared_folder(spark)
+    files.write_text(spark, f"{at}/words.txt", "\n".join(LINES))
+    _, words = lexicon.read_first(spark, lexicon.candidates([f"{at}/{{dataset_id}}.txt", f"{at}/words.txt"], "none", None))
+    rows_ = [(k, i, w) for k, ws in (("file", words), ("effective", lexicon.effective(words, ["And"]))) for i, w in enumerate(ws)]
+    files.delete(spark, at)
+    return spark.createDataFrame(rows_, "kind string, pos int, term string")
+
+
 # rows --------------------------------------------------------------------------------------------------------------------
 
 
@@ -331,6 +375,64 @@ def dataset_scoped_replace(spark, d):
     return rows.dataset_replaced(old, new, "click")
 
 
+@query("bronze_preview", "SELECT event_id, user_id, strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d %H:%M:%S') || ' （台北）' AS ingestion_timestamp FROM events ORDER BY ts DESC, event_id LIMIT 20")
+def bronze_preview(spark, d):
+    return rows.preview(table(spark, d, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ingestion_timestamp")), 20, "event_id")
+
+
+NAMED = ("FRANCE", " CHINA ", "FRANCE", "", "NATION_3")
+
+
+@query("images_named", "SELECT n_name AS image_path, n_nationkey, how FROM nation, (VALUES ('filter'), ('join')) h(how) WHERE n_name IN ('FRANCE', 'CHINA', 'NATION_3')")
+def images_named(spark, d):
+    named = table(spark, d, "nation").select(F.col("n_name").alias("image_path"), "n_nationkey")
+    return rows.of_images(named, NAMED).withColumn("how", F.lit("filter")).unionByName(rows.of_images(named, NAMED, few=1).withColumn("how", F.lit("join")))
+
+
+@query("store_merge", ORACLE_SQL["upsert_by_key"] + " UNION ALL SELECT c_custkey, 'archived', c_acctbal, 'pre_merge' FROM customer WHERE c_mktsegment = 'BUILDING'")
+def store_merge(spark, d):
+    """A merge through the table store: written, merged with its history kept, read back."""
+    c = table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    more = F.when(F.col("c_mktsegment") == "BUILDING", F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal"))
+    source = c.filter("c_mktsegment in ('BUILDING', 'MACHINERY')").withColumn("c_acctbal", more).withColumn("note", F.lit("new"))
+    store = TableStore(spark, files.shared_folder(spark))
+    store.write("t", c.filter("c_mktsegment <> 'MACHINERY'"), "overwrite")
+    store.write("t", source, "merge", ["c_custkey"], history="h")
+    store.vacuum("t")
+    old = store.read("h").select("c_custkey", F.lit("archived").alias("c_name"), "c_acctbal", F.col("archive_reason").alias("note"))
+    return store.read("t").select("c_custkey", "c_name", "c_acctbal", "note").unionByName(old)
+
+
+def _layers(spark, d) -> Layers:
+    """Parts as recognised images: their kind is the dataset, name and brand the text."""
+    store = TableStore(spark, files.shared_folder(spark))
+    bronze = table(spark, d, "part").select(
+        F.concat(F.lit("/raw/images/"), F.lower("p_type"), F.lit("/"), F.col("p_partkey")).alias("image_path"), F.sha2("p_name", 256).alias("file_hash"), F.lower("p_type").alias("dataset_id"),
+        F.concat_ws(" ", "p_name", "p_brand").alias("extracted_text"), F.lit("s").alias("ocr_signature"), F.to_timestamp(F.lit("2026-01-01")).alias("ingestion_timestamp"), F.lit("b").alias("source_bucket"),
+    )
+    store.overwrite("bronze", bronze)
+    layers = Layers(store)
+    layers.silver()
+    return layers
+
+
+SQL_PART = r"""part_text AS (SELECT '/raw/images/' || lower(p_type) || '/' || p_partkey AS image_path, lower(p_type) AS dataset_id,
+  list_filter(string_split(lower(regexp_replace(p_name || ' ' || p_brand, '[^\p{L}\p{N}_]+', ' ', 'g')), ' '), lambda x: x <> '' AND NOT regexp_full_match(x, '\p{Nd}+')) AS words FROM part)"""
+
+
+@query("etl_silver", f"WITH {SQL_PART} SELECT image_path, dataset_id, array_to_string(words, ' ') AS cleaned_text, array_to_string(list_filter(words, lambda x: length(x) > 2 AND x NOT IN ({sql_list(FUNCTION_WORDS)})), ' ') AS tokens FROM part_text")
+def etl_silver(spark, d):
+    return _layers(spark, d).store.read("silver").select("image_path", "dataset_id", "cleaned_text", F.array_join("tokens", " ").alias("tokens"))
+
+
+@query("etl_gold", f"WITH {SQL_PART}, word AS (SELECT DISTINCT image_path AS doc_id, unnest(words) AS w FROM part_text WHERE dataset_id = 'economy'), {SQL_TFIDF.format(word='word')} SELECT * FROM tfidf")
+def etl_gold(spark, d):
+    layers = _layers(spark, d)
+    layers.gold("economy")
+    table_ = layers.store.read("tfidf_keywords").filter("dataset_id = 'economy'")
+    return _rounded(table_.drop("analyzed_at", "dataset_id"), "idf", "tfidf_score")
+
+
 # gates -------------------------------------------------------------------------------------------------------------------
 
 LEAST = 60
@@ -352,6 +454,28 @@ def quarantine_counts(spark, d):
     return gates.status_counts(_tagged(spark, d))
 
 
+@query("quarantine_rejects", f"SELECT doc_id::VARCHAR AS image_path, text AS extracted_text, ocr_status, source AS dataset_id, 'bronze' AS bronze_source_path FROM ({SQL_STATUS}) JOIN documents USING (doc_id) WHERE ocr_status <> 'ok'")
+def quarantine_rejects(spark, d):
+    docs = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("image_path"), F.col("text").alias("extracted_text"), F.col("source").alias("dataset_id"))
+    return gates.rejected(gates.with_status(docs, least=LEAST), "bronze").drop("quarantined_at")
+
+
+@query(
+    "row_metrics",
+    rf"""WITH {SQL_TOKENS} SELECT c.doc_id::VARCHAR AS image_path, length(c.text) AS extracted_len, length(c.cleaned_text) AS cleaned_len, len(t) AS token_count,
+      round(CASE WHEN length(c.text) > 0 THEN length(c.cleaned_text) / length(c.text)::DOUBLE ELSE 1.0 END, 6) AS char_retention,
+      round(CASE WHEN length(c.cleaned_text) > 0 THEN coalesce(list_sum(list_transform(t, lambda x: length(x))), 0) / length(c.cleaned_text)::DOUBLE ELSE 0.0 END, 6) AS token_char_coverage,
+      len(list_filter(t, lambda x: length(x) = 1)) AS len1_token_count, len(list_filter(t, lambda x: length(x) > 10)) AS long_token_count,
+      regexp_matches(c.cleaned_text, '(?i)\d{{4,}}|\?{{3,}}|<\s*html|&[a-z]+;') AS has_noise,
+      len(list_filter(string_split(c.cleaned_text, ' '), lambda x: regexp_full_match(x, '\p{{Nd}}+'))) > 0 AS has_digit_token
+    FROM (SELECT c.*, coalesce(tok.tokens, []) AS t FROM clean c LEFT JOIN tok USING (doc_id)) c""",
+)
+def row_metrics(spark, d):
+    silver = cleaned(spark, d).select(F.col("doc_id").cast("string").alias("image_path"), "extracted_text", "cleaned_text", text.split_tokens(F.col("cleaned_text")).alias("tokens"))
+    out = _rounded(gates.row_metrics(silver), "char_retention", "token_char_coverage")
+    return out.withColumns({c: F.col(c).cast("long") for c in ("extracted_len", "cleaned_len", "token_count", "len1_token_count", "long_token_count")})
+
+
 SQL_SUMMARY = f"SELECT count(*) AS total_rows, count(*) FILTER (ocr_status = 'ok') AS ok_rows, count(*) FILTER (ocr_status <> 'ok') AS reject_rows, coalesce(count(*) FILTER (ocr_status <> 'ok') / count(*)::DOUBLE, 0.0) AS reject_rate FROM ({SQL_STATUS})"
 
 
@@ -454,6 +578,25 @@ def topic_frequency_exact(spark, d):
     return funnel.topic_frequency(_topics(spark, d), "topics")
 
 
+def _sql_review() -> str:
+    """Sentiment, recalled and unconfirmed topics without fuzzy matching, on top of the topics."""
+    held = lambda t: f"contains(s, '{t}') OR contains(j, '{t}')"
+    seeds = funnel.Funnel(RULES).seeds
+    recalled = ", ".join(f"CASE WHEN {' OR '.join(held(x) for x in seeds[t.name])} THEN '{t.name}' END" for t in RULES.topics)
+    return f"""{_sql_topics()}, r AS (SELECT doc_id, negative, {" OR ".join(held(p) for p in RULES.positives)} AS positive, list_filter([{recalled}], lambda x: x IS NOT NULL) AS recalled FROM n)
+    SELECT d.doc_id, CASE WHEN r.negative OR len(t.topics) > 0 THEN 'negative' WHEN r.positive THEN 'positive' ELSE 'neutral' END AS sentiment, coalesce(array_to_string(t.topics, ','), '') AS topics,
+      coalesce(array_to_string(r.recalled, ','), '') AS candidates, coalesce(array_to_string(list_filter(r.recalled, lambda x: NOT list_contains(t.topics, x)), ','), '') AS filtered_out
+    FROM documents d LEFT JOIN t USING (doc_id) LEFT JOIN r USING (doc_id)"""
+
+
+@query("review_analysis_exact", _sql_review())
+def review_analysis_exact(spark, d):
+    """The whole funnel, its Arrow form, with fuzzy matching off."""
+    a = tokens(spark, d).select("doc_id", funnel.analysis(F.col("tokens"), rules=RULES, fuzzy=False).alias("a"))
+    lists = {"topics": "a.pain_topics", "candidates": "a.pain_candidates", "filtered_out": "a.filtered_out"}
+    return a.select("doc_id", "a.sentiment", *[F.array_join(c, ",").alias(n) for n, c in lists.items()])
+
+
 def _analysed(spark, d):
     turns = table(spark, d, "conversations").select("conv_id", "turn", text.split_tokens(text.clean_text(F.col("text"))).alias("tokens"))
     return turns.select("conv_id", "turn", funnel.analysis(F.col("tokens"), rules=RULES).alias("a"))
@@ -525,6 +668,31 @@ def snapshot_release(spark, d):
     return snapshots.of_release(_series(spark, d), version="v1", content_hash="not a column")
 
 
+@query("release_latest", f"WITH s AS (SELECT * FROM ({SQL_SERIES}) WHERE release_lexicon_version = 'v1') SELECT * FROM s WHERE (dataset_id, snapshot_at) IN (SELECT dataset_id, max(snapshot_at) FROM s GROUP BY 1)")
+def release_latest(spark, d):
+    return snapshots.latest_of_release(_series(spark, d), version="v1")
+
+
+@query(
+    "audit_findings",
+    """SELECT * FROM (VALUES ('runtime.silver_version', 'FAIL'), ('runtime.rule_version', 'PASS'), ('gold.exploration_note', 'PASS'), ('gold.release_lexicon_hash_missing', 'WARN')) t(check_id, level)
+    UNION ALL SELECT CASE WHEN count(*) = 0 THEN 'bronze.empty' WHEN count(*) FILTER (lang <> 'en') > 0 THEN 'bronze.unexpected_signature' WHEN count(DISTINCT source) > 1 THEN 'bronze.mixed_signatures' ELSE 'bronze.signatures_ok' END,
+      CASE WHEN count(*) = 0 THEN 'WARN' WHEN count(*) FILTER (lang <> 'en') > 0 THEN 'FAIL' WHEN count(DISTINCT source) > 1 THEN 'WARN' ELSE 'PASS' END FROM documents
+    UNION ALL SELECT CASE WHEN count(*) FILTER (quality = 1) = 0 THEN 'silver.version_missing' WHEN count(*) FILTER (quality <> 1) > 0 THEN 'silver.stale_version' ELSE 'silver.version_ok' END,
+      CASE WHEN count(*) FILTER (quality <> 1) = 0 AND count(*) > 0 THEN 'PASS' ELSE 'FAIL' END FROM labels
+    UNION ALL SELECT 'gold.snapshot_ok', 'PASS' UNION ALL SELECT 'gold.approved_missing', 'FAIL'""",
+)
+def audit_findings(spark, d):
+    """The audit's findings over documents as bronze, labels as silver and the events' series as snapshots."""
+    bronze = table(spark, d, "documents").select(F.concat(F.lit("lang="), "lang", F.lit("|src="), "source").alias("ocr_signature"))
+    silver = table(spark, d, "labels").select(F.concat(F.lit("v"), "quality").alias("silver_transform_version"))
+    gold = _series(spark, d).withColumn("rule_version", F.lit(RULES.version))
+    manifest = {"runtime": {"silver_transform_version": "v1"}, "gold": {"topic_rule_version": "v1", "approved_snapshot_at": "1999-01-01"}, "bronze": {"allowed_ocr_signatures": ["lang=en"]}}
+    found = snapshots.verified(gold, "1", F.to_timestamp(F.lit("1999-01-01")), "v1")
+    findings = audit.run_audit(manifest, lexicon.Lexicon("1", STOP, STOP + EXTRA_STOP), "v2", RULES.version, audit.table_facts(bronze, silver, gold), found)
+    return spark.createDataFrame([(f.check_id, f.level) for f in findings], "check_id string, level string")
+
+
 ALLOWED = ("lang=en|src=src1", "lang=de|src=src2")
 
 
@@ -595,6 +763,93 @@ def datasets_listed(spark, d):
     return datasets(_paths(spark, d).withColumn("dataset_id", text.dataset_of_path(F.col("path"))))
 
 
+@query("path_parts", f"SELECT page_id, 'b' AS bucket, substr(path, length('s3a://b/') + 1) AS key FROM ({SQL_PATH})")
+def path_parts(spark, d):
+    return _paths(spark, d).select("page_id", text.bucket_and_key(F.col("path")).alias("p")).select("page_id", "p.*")
+
+
+@query(
+    "object_paths",
+    f"""SELECT page_id, CASE page_id % 3 WHEN 0 THEN path WHEN 1 THEN 's3a://b/raw/images/x/' || page_id ELSE 's3a://b/raw/images/' || page_id || '.png' END AS path FROM ({SQL_PATH})""",
+)
+def object_paths(spark, d):
+    n = F.col("page_id").cast("string")
+    short = F.when(F.col("page_id") % 3 == 0, F.col("path")).when(F.col("page_id") % 3 == 1, F.concat(F.lit("raw/images/x/"), n)).otherwise(F.concat(F.lit(" "), n, F.lit(".png")))
+    return _paths(spark, d).select("page_id", text.object_path(short, "b").alias("path"))
+
+
+SHORT = ("a.png", "raw/x/b.png", " c/d.png ", None, "s3a://o/e.png", "a.png")
+
+
+@query("paths_batched", "SELECT * FROM (VALUES (0, 's3a://b/base/a.png'), (0, 's3a://b/raw/x/b.png'), (1, 's3a://b/raw/images/c/d.png'), (1, 's3a://o/e.png')) t(batch, path)")
+def paths_batched(spark, d):
+    parts = files.batches(keys.full_paths(SHORT, "b", "base"), 5, 2)
+    return spark.createDataFrame([(i, p) for i, part in enumerate(parts) for p in part], "batch int, path string")
+
+
+@query(
+    "image_files",
+    "SELECT * FROM (VALUES ('a', 'all', 2), ('b', 'all', 1), ('a', 'first', 2), ('a', 'real', 1), ('b', 'real', 1)) t(dataset_id, kind, images)",
+)
+def image_files(spark, d):
+    """Images in folders: listed by dataset, the first two by path, and those that really are images."""
+    at = files.shared_folder(spark) + "/raw/images"
+    png = "\x89PNG\r\n\x1a\n"
+    for name in ("a/1.png", "a/2.PNG", "b/3.png", "a/notes.txt"):
+        files.write_bytes(spark, f"{at}/{name}", (png if name != "a/2.PNG" else "text").encode("latin-1"))
+    listing = files.image_listing(spark, at)
+    real = files.real_images(files.images(spark, at)).withColumn("dataset_id", text.dataset_of_path(F.col("image_path")))
+    first = files.first_images(spark, at, 2).withColumn("dataset_id", text.dataset_of_path(F.col("image_path")))
+    parts = [files.datasets(x).withColumn("kind", F.lit(k)) for k, x in (("all", listing), ("first", first), ("real", real))]
+    return reduce(DataFrame.unionByName, parts).select("dataset_id", "kind", "images")
+
+
+@query(
+    "upload_verdicts",
+    "SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'ok' WHEN 1 THEN 'not_an_image' WHEN 2 THEN 'extension' WHEN 3 THEN 'video' ELSE 'no_name' END AS verdict FROM pages",
+)
+def upload_verdicts(spark, d):
+    pick = lambda values: F.element_at(strings(values), (F.col("page_id") % 5 + 1).cast("int"))
+    name, mime = pick(["a.png", "a.jpg", "a.txt", "a.png", " "]), pick(["image/png", "image/jpeg", "text/plain", "video/mp4", "image/png"])
+    content = F.unhex(pick(["89504E470D0A1A0A00", "3C68746D6C3E", "00", "89504E470D0A1A0A00", "00"]))
+    return table(spark, d, "pages").select("page_id", text.upload_verdict(name, mime, content).alias("verdict"))
+
+
+@query("cjk_collapsed", "SELECT doc_id, '好喝 ' || source || ' 很好' AS t, '茶葉' AS u FROM documents")
+def cjk_collapsed(spark, d):
+    t = F.concat(F.lit("好 \u3000喝 "), "source", F.lit(" 很 好"))
+    return table(spark, d, "documents").select("doc_id", text.collapse_cjk(t).alias("t"), text.collapse_cjk(F.lit("茶 葉")).alias("u"))
+
+
+def _hashing_engine(content: bytes, config: recognise.Config) -> tuple[str, str]:
+    import hashlib
+
+    return f"{hashlib.sha256(content).hexdigest()} {'x' * int(config.mode)}", recognise.signature(config)
+
+
+def _scans(spark, d):
+    pages = table(spark, d, "pages")
+    return pages.select(F.concat(F.lit("/raw/images/p/"), "page_id").alias("image_path"), F.encode("html", "utf-8").alias("image_content"))
+
+
+@query(
+    "ocr_rows",
+    """SELECT '/raw/images/p/' || page_id AS image_path, sha256(html) AS file_hash, 'p' AS dataset_id, sha256(html) || ' xxxxxx' AS extracted_text,
+      'tesseract|lang=chi_tra+eng|psm=6|pre=v1.1|profile=dark_ui|scale=1500|ctr=2.0|shp=1.5|bin=adaptive' AS ocr_signature FROM pages""",
+)
+def ocr_rows(spark, d):
+    return recognise.recognised(_scans(spark, d), recognise.Config(), _hashing_engine)
+
+
+@query(
+    "psm_ab",
+    """SELECT psm, count(*) AS n_rows, 0::BIGINT AS error_rows, 0::BIGINT AS empty_rows, 65.0 + psm::INT AS avg_chars, 0.0::DOUBLE AS avg_cjk_gaps,
+      sum(CASE WHEN contains(sha256(html), 'abc') THEN 1 ELSE 0 END + CASE WHEN psm = '11' THEN 1 ELSE 0 END)::BIGINT AS total_hits FROM pages, (VALUES ('6'), ('11')) m(psm) GROUP BY psm""",
+)
+def psm_ab(spark, d):
+    return recognise.compare_modes(_scans(spark, d), recognise.Config(), ("6", "11"), ("abc", "xxxxxxxxxxx"), _hashing_engine)
+
+
 KEYWORDS = ("the", "license", "Que", "und", "nowhere")
 
 

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text, in_dataset, split_tokens
-from ..operators import corpus, funnel, gates, lexicon, recognise, rows, segment, snapshots
+from ..operators import audit, corpus, funnel, gates, lexicon, recognise, rows, segment, snapshots
 from ..operators.values import DRINKS, TopicRules
 from ..sources import files
 from ..sources.store import TableStore
@@ -68,11 +68,13 @@ class Layers:
         tokens = segment.segmented(F.col("cleaned_text")) if cjk else split_tokens(F.col("cleaned_text"))
         return clean.withColumn("tokens", tokens).withColumn("silver_transform_version", F.lit(self.version))
 
-    def silver(self, dataset: str | None = None, cjk: bool = False, mode: str = "soft") -> dict:
-        """Latest rows, quarantine, cleaning, tokens; what changed is merged; the quality gate passes before publishing."""
+    def silver(self, dataset: str | None = None, cjk: bool = False, mode: str = "soft", images: Sequence[str] | None = None) -> dict:
+        """Latest rows, quarantine, cleaning, tokens; what changed is merged; the quality gate passes before publishing.
+        ``images`` limits a run to the images named."""
 
         def run():
-            ready = rows.prepare_for_silver(in_dataset(self.store.read("bronze"), dataset), dataset)
+            bronze = in_dataset(self.store.read("bronze"), dataset)
+            ready = rows.prepare_for_silver(bronze if images is None else rows.of_images(bronze, images), dataset)
             ok, decision = gates.quarantine(ready, lambda r: self.store.append("bronze_quarantine", r), "bronze", mode)
             source = self.silver_rows(ok.select("image_path", "extracted_text", "source_bucket", "latest_ingestion_timestamp", "dataset_id"), cjk)
             if self.store.exists("silver"):
@@ -100,9 +102,7 @@ class Layers:
         def run():
             lex_ = lex or lexicon.collect(dataset, self.rules)
             silver = lexicon.with_lexicon_tokens(in_dataset(self.store.read("silver"), dataset), lex_)
-            labelled = silver.filter(F.size("analytics_tokens") > 0).select(funnel.analysis(F.col("analytics_tokens"), rules=self.rules)["pain_topics"].alias("topics"))
-            topics = snapshots.stamped(funnel.topic_frequency(labelled, "topics"), dataset, self.rules.version, lex_.release_version, lex_.release_hash)
-            self.store.append("topic_snapshot", topics.coalesce(coalesce))
+            self._topics(silver, dataset, lex_, coalesce)
             words = corpus.tfidf(silver, "image_path", "tfidf_exploration_tokens")
             self.store.replace_dataset("tfidf_keywords", words, dataset)
             self.store.replace_dataset("phrase_candidates", corpus.phrase_pmi(silver, "analytics_tokens", least), dataset)
@@ -113,6 +113,33 @@ class Layers:
 
         return self._recorded("gold", dataset, run)
 
+    def _topics(self, silver: DataFrame, dataset: str, lex: lexicon.Lexicon, coalesce: int = 1, verify: bool = False) -> None:
+        labelled = silver.filter(F.size("analytics_tokens") > 0).select(funnel.analysis(F.col("analytics_tokens"), rules=self.rules)["pain_topics"].alias("topics"))
+        topics = snapshots.stamped(funnel.topic_frequency(labelled, "topics"), dataset, self.rules.version, lex.release_version, lex.release_hash)
+        self.store.append("topic_snapshot", topics.coalesce(coalesce))
+        if verify:
+            self.store.verify("topic_snapshot", f"dataset_id = '{dataset}'")
+
+    def topics(self, dataset: str, lex: lexicon.Lexicon | None = None, verify: bool = False) -> dict:
+        """The topics alone, as a new snapshot: after a change of rules or word lists. ``verify`` reads it back strictly."""
+
+        def run():
+            lex_ = lex or lexicon.collect(dataset, self.rules)
+            self._topics(lexicon.with_lexicon_tokens(in_dataset(self.store.read("silver"), dataset), lex_), dataset, lex_, verify=verify)
+            return {"topics": snapshots.latest(in_dataset(self.store.read("topic_snapshot"), dataset)).count()}
+
+        return self._recorded("gold_topics", dataset, run)
+
+    def audit(self, dataset: str, manifest: Mapping, lex: lexicon.Lexicon | None = None, offline: bool = False) -> list[audit.Finding]:
+        """The dataset's findings, from its tables, or from settings and word lists alone if ``offline``."""
+        lex_ = lex or lexicon.collect(dataset, self.rules)
+        if offline:
+            return audit.run_audit(manifest, lex_, self.version, self.rules.version)
+        bronze, silver, gold = (in_dataset(self.store.read(t), dataset) if self.store.exists(t) else None for t in ("bronze", "silver", "topic_snapshot"))
+        at = (manifest.get("gold") or {}).get("approved_snapshot_at")
+        found = None if gold is None or not at else snapshots.verified(gold, dataset, F.to_timestamp(F.lit(at)))
+        return audit.run_audit(manifest, lex_, self.version, self.rules.version, audit.table_facts(bronze, silver, gold), found)
+
     def keywords(self, dataset: str, k: int) -> list[str]:
         table = in_dataset(self.store.read("tfidf_keywords"), dataset)
         return [r.keyword for r in corpus.top(table, "tfidf_score", k, "keyword").collect()]

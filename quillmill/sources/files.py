@@ -38,15 +38,30 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder that driver and executors see: under ``spark.checkpoint.dir``, or a temporary one in a local session."""
+    import tempfile
+    import uuid
+
+    at = spark.conf.get("spark.checkpoint.dir", "") or ""
+    if not at and not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+        raise RuntimeError("spark.checkpoint.dir is not set")
+    return f"{at.rstrip('/') or 'file:' + tempfile.mkdtemp(prefix='quillmill-')}/quillmill-{uuid.uuid4().hex}"
+
+
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
     fs, p = _at(spark, path)
     out = fs.create(p, True)
     try:
-        out.write(bytearray(text.encode()))
+        out.write(bytearray(content))
     finally:
         out.close()
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    write_bytes(spark, path, text.encode())
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, p = _at(spark, path)
     stream = fs.open(p)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import posixpath
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from datetime import UTC, datetime
 
 from ..functions.text import dataset_key
@@ -33,6 +33,19 @@ def object_key(name: str, dataset: str, folder: str | None = None, prefix: str =
     return "/".join(p for p in (prefix.strip("/"), dataset_key(dataset, strict=True), inner, file_name(name)) if p)
 
 
+def full_paths(names: Iterable[str | None], bucket: str, base: str = "raw/images") -> list[str]:
+    """Full paths of names given in short (see ``text.object_path``), without blanks, each once, in order."""
+    out = []
+    for name in (str(n or "").strip().replace("\\", "/") for n in names):
+        if name.startswith("s3a://"):
+            out.append(name)
+        elif name.startswith("raw/"):
+            out.append(f"s3a://{bucket}/{name}")
+        elif name:
+            out.append(f"s3a://{bucket}/{base if '/' not in name else 'raw/images'}/{name.lstrip('/')}")
+    return list(dict.fromkeys(out))
+
+
 def free_key(key: str, taken: Callable[[str], bool], overwrite: bool = False, now: datetime | None = None) -> tuple[str, bool]:
     """(key to write, whether it was renamed): a taken key gets a time, and then a number, before its extension."""
     if overwrite or not taken(key):

@@ -196,15 +196,66 @@ def test_entry(spark):
     out = __spark_entry__.entry(spark)
     assert out.columns == ["keyword", "total_tf", "doc_frequency", "corpus_doc_count", "idf", "tfidf_score"] and not out.isEmpty()
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
-
-
-@pytest.mark.parametrize("name", ["phrase_pmi", "silver_quality_metrics", "change_detect", "topic_labels_exact", "snapshot_latest", "ingest_status"])
+    assert all(isinstance(sql, str) and "SELECT" in sql for sql in __spark_entry__.oracle_sql().values())
+
+
+def test_entry_without_a_library():
+    """A library that only the training-data operators need is missing: the other queries are there all the same."""
+    import os
+    import subprocess
+    import sys
+
+    code = "import sys; sys.modules['tokenizers'] = None; import __spark_entry__ as e; from quillmill.plans import catalogue as c; assert set(e.queries()) == set(c.QUERIES) and e.oracle_sql() == c.ORACLE_SQL"
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    assert subprocess.run([sys.executable, "-c", code], cwd=root, check=False).returncode == 0
+
+
+def test_topics_alone_and_audit(spark, store):
+    layers = Layers(store)
+    rows_ = [(f"/raw/images/drinks/{i}.png", f"服務態度 很差 text{i} words", "drinks", "b", "sig", "h") for i in range(4)]
+    bronze = spark.createDataFrame(rows_, "image_path string, extracted_text string, dataset_id string, source_bucket string, ocr_signature string, file_hash string")
+    store.overwrite("bronze", bronze.withColumn("ingestion_timestamp", F.current_timestamp()))
+    assert layers.silver("drinks", images=[rows_[0][0], rows_[1][0]])["inserted"] == 2 and layers.silver("drinks")["inserted"] == 2
+    assert layers.topics("drinks", verify=True)["topics"] == layers.topics("drinks")["topics"] >= 1
+    assert store.read("topic_snapshot").select("snapshot_at").distinct().count() == 2 and not store.exists("tfidf_keywords")
+    manifest = {"bronze": {"allowed_ocr_signatures": ["sig"]}, "gold": {"approved_snapshot_at": "1999-01-01 00:00:00"}}
+    levels = {f.check_id: f.level for f in layers.audit("drinks", manifest)}
+    assert levels["bronze.signatures_ok"] == levels["silver.version_ok"] == levels["gold.snapshot_ok"] == "PASS" and levels["gold.approved_missing"] == "FAIL"
+    assert not any(f.check_id.startswith(("bronze", "silver")) for f in layers.audit("drinks", manifest, offline=True))
+
+
+def test_binarisation():
+    import numpy as np
+
+    grey = np.full((40, 40), 200, np.uint8)
+    grey[10:14, 10:30] = 60
+    grey[:, 30:] = 90  # a darker part, in which a stroke is darker still
+    grey[20:22, 33:38] = 30
+    binary = recognise.adaptive(grey)
+    assert (binary[11, 12:20] == 0).all() and (binary[20:22, 34:37] == 0).all() and (binary[30, 2:12] == 255).all()
+    at = np.arange(-15, 16)
+    weight = np.exp(-(at[:, None] ** 2 + at[None, :] ** 2) / 50)  # a deviation of 5 for 31 x 31
+    wide = np.pad(grey.astype(float), 15, mode="edge")
+    plain = [[255 if grey[i, j] > (wide[i : i + 31, j : j + 31] * weight).sum() / weight.sum() - 10 else 0 for j in range(40)] for i in range(40)]
+    assert np.array_equal(binary, plain)
+    specks = np.zeros((9, 9), np.uint8)
+    specks[4, 4] = specks[0, 0] = 255
+    specks[6:8, 6:9] = 255
+    opened = recognise.opened(specks)
+    assert opened[4, 4] == opened[0, 0] == 0 and (opened[6:8, 6:9] == 255).all()
+
+
+NEW = """phrase_top gold_preview lexicon_columns stopword_lines bronze_preview images_named store_merge etl_silver etl_gold quarantine_rejects row_metrics
+    review_analysis_exact release_latest audit_findings path_parts object_paths paths_batched image_files upload_verdicts cjk_collapsed ocr_rows psm_ab topic_frequency_exact""".split()
+
+
+@pytest.mark.parametrize("name", ["phrase_pmi", "silver_quality_metrics", "change_detect", "topic_labels_exact", "snapshot_latest", "ingest_status", *NEW])
 def test_queries_agree_with_sql(spark, name):
     import duckdb
 
     sf = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    for t in "documents pages labels events".split():
+    for t in "documents pages labels events nation customer part benchmark conversations".split():
         con.sql(f"create view {t} as select * from '{sf}/{t}.parquet'")
     rel = con.sql(catalogue.ORACLE_SQL[name])
     df = catalogue.QUERIES[name](spark, sf)
