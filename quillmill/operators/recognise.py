@@ -119,7 +119,7 @@ def adaptive(grey: np.ndarray, block: int = 31, offset: int = 10) -> np.ndarray:
 
 
 def opened(binary: np.ndarray) -> np.ndarray:
-    """White specks below 2 x 2 pixels go: the least of each 2 x 2 square, then the most."""
+    """White specks below 2 x 2 pixels go: the least of each 2 x 2 square, then the most. Outside counts as white, then as black."""
     for best, fill in ((np.minimum, 255), (np.maximum, 0)):
         before = best is np.minimum
         wide = np.pad(binary, ((1, 0), (1, 0)) if before else ((0, 1), (0, 1)), constant_values=fill)

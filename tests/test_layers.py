@@ -239,10 +239,13 @@ def test_binarisation():
     plain = [[255 if grey[i, j] > (wide[i : i + 31, j : j + 31] * weight).sum() / weight.sum() - 10 else 0 for j in range(40)] for i in range(40)]
     assert np.array_equal(binary, plain)
     specks = np.zeros((9, 9), np.uint8)
-    specks[4, 4] = specks[0, 0] = 255
+    specks[4, 4] = specks[0, 5] = specks[2, 0] = specks[0, 0] = 255
     specks[6:8, 6:9] = 255
     opened = recognise.opened(specks)
-    assert opened[4, 4] == opened[0, 0] == 0 and (opened[6:8, 6:9] == 255).all()
+    assert opened[4, 4] == 0 and (opened[6:8, 6:9] == 255).all()
+    least = lambda i, j: min(specks[a, b] for a in (i - 1, i) for b in (j - 1, j) if a >= 0 and b >= 0)
+    eroded = np.array([[least(i, j) for j in range(9)] for i in range(9)])
+    assert np.array_equal(opened, [[eroded[i : i + 2, j : j + 2].max() for j in range(9)] for i in range(9)])
 
 
 NEW = """phrase_top gold_preview lexicon_columns stopword_lines bronze_preview images_named store_merge etl_silver etl_gold quarantine_rejects row_metrics
