@@ -843,7 +843,7 @@ def ocr_rows(spark, d):
 
 @query(
     "psm_ab",
-    """SELECT psm, count(*) AS n_rows, 0::BIGINT AS error_rows, 0::BIGINT AS empty_rows, 65.0 + psm::INT AS avg_chars, 0.0::DOUBLE AS avg_cjk_gaps,
+    """SELECT psm, count(*) AS n_rows, 0::BIGINT AS error_rows, 0::BIGINT AS empty_rows, (65.0 + psm::INT)::DOUBLE AS avg_chars, 0.0::DOUBLE AS avg_cjk_gaps,
       sum(CASE WHEN contains(sha256(html), 'abc') THEN 1 ELSE 0 END + CASE WHEN psm = '11' THEN 1 ELSE 0 END)::BIGINT AS total_hits FROM pages, (VALUES ('6'), ('11')) m(psm) GROUP BY psm""",
 )
 def psm_ab(spark, d):
