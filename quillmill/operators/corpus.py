@@ -8,23 +8,44 @@ from pyspark.sql import functions as F
 from ..functions.text import bigrams
 
 
+def _counts(docs: DataFrame, doc: str, tokens: str, repeats: bool) -> DataFrame:
+    """doc, keyword, n, marks: how often a keyword occurs (with ``repeats`` in each document, else doc is null).
+
+    A document with a token left adds a row without a keyword, so that keywords and documents are counted in one pass: rows
+    with marks stand for documents. Both kinds are told apart by ``marks``, an aggregate, and never by a grouping column,
+    whose filter would go below the exchange and undo its reuse.
+    """
+    kept = docs.select(F.col(doc).alias("doc"), F.filter(tokens, lambda t: t.isNotNull() & (t != "")).alias("kept"))
+    marked = F.when(F.col("doc").isNotNull() & (F.size("kept") > 0), F.concat("kept", F.array(F.lit(None).cast("string")))).otherwise(F.col("kept"))
+    terms = kept.select("doc", F.explode(marked).alias("keyword"))
+    by = F.col("doc") if repeats else F.when(F.col("keyword").isNull(), F.col("doc"))
+    terms = terms.select(by.alias("doc"), "keyword")
+    return terms.groupBy("doc", "keyword").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("keyword").isNull().cast("int")).alias("marks"))
+
+
+def _stats(counts: DataFrame, repeats: bool) -> DataFrame:
+    terms = counts.filter("marks = 0")
+    if not repeats:
+        return terms.select("keyword", F.col("n").alias("total_tf"), F.col("n").alias("doc_frequency"))
+    return terms.groupBy("keyword").agg(F.sum("n").alias("total_tf"), F.count(F.lit(1)).alias("doc_frequency"))
+
+
 def term_stats(docs: DataFrame, doc: str, tokens: str, repeats: bool = False) -> DataFrame:
     """keyword, total_tf, doc_frequency. Without ``repeats`` a document's tokens are distinct, and one count serves for both."""
-    terms = docs.select(F.col(doc).alias("doc"), F.explode(tokens).alias("keyword")).filter("keyword is not null and keyword <> ''")
-    if not repeats:
-        return terms.groupBy("keyword").agg(F.count(F.lit(1)).alias("total_tf")).withColumn("doc_frequency", F.col("total_tf"))
-    per_doc = terms.groupBy("doc", "keyword").agg(F.count(F.lit(1)).alias("tf"))
-    return per_doc.groupBy("keyword").agg(F.sum("tf").alias("total_tf"), F.count(F.lit(1)).alias("doc_frequency"))
+    return _stats(_counts(docs, doc, tokens, repeats), repeats)
 
 
 def tfidf(docs: DataFrame, doc: str, tokens: str, repeats: bool = False) -> DataFrame:
     """keyword, total_tf, doc_frequency, corpus_doc_count, idf = ln((N+1)/(df+1)), tfidf_score = total_tf * idf.
 
-    N counts the documents with a token left. It is one row, so the join is a broadcast of fixed size.
+    N counts the documents with a token left. It is one row, so the join is a broadcast of fixed size. Texts are read and
+    cleaned once: both sides use the same exchange.
     """
-    n = docs.filter(F.size(F.filter(tokens, lambda t: t.isNotNull() & (t != ""))) > 0).agg(F.count_distinct(doc).alias("corpus_doc_count"))
+    counts = _counts(docs, doc, tokens, repeats)
+    # n is asked for as well, or else it would be pruned here and the exchange not be the same
+    n = counts.filter("marks > 0 and n > 0").agg(F.count(F.lit(1)).alias("corpus_doc_count"))
     idf = F.log((F.col("corpus_doc_count") + 1.0) / (F.col("doc_frequency") + 1.0))
-    stats = term_stats(docs, doc, tokens, repeats).crossJoin(F.broadcast(n))
+    stats = _stats(counts, repeats).crossJoin(F.broadcast(n))
     return stats.withColumn("idf", idf).withColumn("tfidf_score", F.col("total_tf") * F.col("idf"))
 
 

@@ -192,3 +192,16 @@ def test_recognition(spark):
     assert (sides["6"].n_rows, sides["6"].error_rows, sides["11"].total_hits, sides["11"].avg_cjk_gaps) == (2, 1, 2, 0.5)
     text, signature = recognise.tesseract(b"no image", c)
     assert text.startswith("OCR_ERROR_") and signature
+
+
+def test_tfidf_counts_documents_and_words_in_one_pass(spark, tmp_path):
+    rows = [("a", ["x", "y", "x"]), ("a", ["x", None, ""]), ("b", ["y"]), ("c", []), ("d", None), (None, ["x"]), ("e", ["", None])]
+    spark.createDataFrame(rows, "doc string, tokens array<string>").write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    for repeats, wanted in ((False, {"x": (4, 4), "y": (2, 2)}), (True, {"x": (4, 2), "y": (2, 2)})):
+        out = corpus.tfidf(docs, "doc", "tokens", repeats)
+        found = {r.keyword: (r.total_tf, r.doc_frequency) for r in out.collect()}
+        assert found == wanted and {r.corpus_doc_count for r in out.collect()} == {2}
+        plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.count("Scan parquet") == 1
+    assert corpus.tfidf(docs.limit(0), "doc", "tokens").count() == 0
