@@ -123,6 +123,57 @@ def test_cover_tree_prunes_blocks_of_clusters(spark):
     assert {i: got[i].n_links for i in got} == dict(enumerate(n.tolist()))
 
 
+def test_cover_tree_vectors_travel_once_for_each_run(spark, monkeypatch):
+    rnd = np.random.default_rng(12)
+    x = rnd.normal(size=(400, 40))
+    x = np.concatenate([x, x[:60] + 0.12 * rnd.normal(size=(60, 40)), x[:1] + 0.1 * rnd.normal(size=(40, 40))])
+    travelled, paired = spark.sparkContext.accumulator(0), cover_tree._paired
+
+    def counted(*args):
+        pair = paired(*args)
+
+        def run(rows):
+            travelled.add(len(rows))
+            return pair(rows)
+
+        return run
+
+    monkeypatch.setattr(cover_tree, "_paired", counted)
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in cover_tree.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), block=20).collect()}
+    unit = x.astype(np.float32).astype(float)
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    link = unit @ unit.T >= 0.95
+    label = np.arange(len(x))
+    for _ in range(len(x)):
+        label = np.array([label[row].min() for row in link])
+    assert got == {i: (int(link[i].sum()) - 1, int(label[i])) for i in range(len(x))}
+    assert travelled.value <= 8 * len(x)  # 25 blocks: a vector that travels once for each block it meets makes 26
+
+
+@pytest.mark.parametrize("dim", [3, 20, 64])
+def test_cover_tree_shadows_lose_no_link(dim):
+    rnd = np.random.default_rng(dim)
+    base = rnd.normal(size=(900, dim)) * np.linspace(2, 0.2, dim) + 0.3
+    x = np.concatenate([base, base[:300] + 0.1 * rnd.normal(size=(300, dim)), base[:1] + 0.15 * rnd.normal(size=(200, dim)) * rnd.random((200, 1))])[rnd.permutation(1400)]
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    axes = cover_tree._axes(x, 0.95)
+    assert (np.linalg.norm(cover_tree._shadow(x[:700], axes) - cover_tree._shadow(x[700:], axes), axis=1) <= np.linalg.norm(x[:700] - x[700:], axis=1) + 1e-6).all()
+    links = cover_tree._Links(np.ones(1400, np.int64))
+    a, b = (cover_tree._Tree(x[s], cover_tree.build(x[s]), axes, 0.95, s.start) for s in (slice(0, 700), slice(700, 1400)))
+    for first, second in ((a, a), (a, b), (b, b)):
+        cover_tree.traverse(first, second, links, 0.95)
+    assert np.array_equal(links.n, (x @ x.T >= 0.95).sum(axis=1) - 1)
+
+
+def test_cover_tree_opens_past_a_level_that_groups_by_chance():
+    x = np.random.default_rng(2).normal(size=(1500, 64)) + 0.5  # cosines near 0.2: some centres hold points, at nearly the whole radius
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    path = cover_tree.build(x)
+    tree = cover_tree._Tree(x, path, cover_tree._axes(x, 0.95), 0.95)
+    assert len(np.unique(path[:, 0])) < len(x) and tree.top > 0
+
+
 # --- op2 ------------------------------------------------------------------------------------------------------------
 
 
